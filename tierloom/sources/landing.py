@@ -14,8 +14,18 @@ REJECTED = "_rejected_line"
 FILE_ORDER = "_file_order"
 
 
+_TYPES = {
+    "int": T.IntegerType(),
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
 def _schema(columns: str) -> T.StructType:
-    return T.StructType.fromDDL(columns)
+    """``name type`` pairs as a schema; built by hand, as the DDL parser needs a running session."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # Columns of the twelve extracts, in file order.
