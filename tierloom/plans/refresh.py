@@ -25,6 +25,7 @@ from tierloom.sources.tables import (
     Load,
     assert_required,
     load_all,
+    side_by_side,
     with_audit,
     write_refresh,
 )
@@ -101,10 +102,14 @@ def cleanse_all(
 def build_star(cleansed: Mapping[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
     """The nine tables of the star schema over the cleansed tables. Dimensions with surrogate keys are
     stored in the shared folder by this call; the rest is lazy."""
-    customers = star.dim_customers(
-        cleansed["crm_cust_info"], cleansed["erp_cust_az12"], cleansed["erp_loc_a101"]
+    customers, products = side_by_side(
+        [
+            lambda: star.dim_customers(
+                cleansed["crm_cust_info"], cleansed["erp_cust_az12"], cleansed["erp_loc_a101"]
+            ),
+            lambda: star.dim_products(cleansed["crm_prd_info"], cleansed["erp_px_cat_g1v2"]),
+        ]
     )
-    products = star.dim_products(cleansed["crm_prd_info"], cleansed["erp_px_cat_g1v2"])
     employees = star.dim_employees(cleansed["erp_hr_hx19"], as_of)
     vendors = star.dim_vendors(cleansed["erp_vnd_z90"])
     return {

@@ -6,7 +6,7 @@ import datetime
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -77,21 +77,25 @@ def write_refresh(
     return rows.get["rows"]
 
 
-def load_all(jobs: Mapping[str, Callable[[], int]], parallel: int = 4) -> list[Load]:
-    """Run independent loads side by side from driver threads; the first failure is raised.
+def side_by_side(jobs: Sequence[Callable], parallel: int = 4) -> list:
+    """Results of independent jobs run from driver threads; the first failure is raised.
 
-    Each job stores one table and returns its row count. Spark shares the executors between them, so
-    that small tables do not wait for the stragglers of big ones.
+    Spark shares the executors between them, so that small jobs do not wait for the stragglers of big
+    ones.
     """
+    with ThreadPool(max(1, min(parallel, len(jobs)))) as pool:
+        return pool.map(inheritable_thread_target(lambda job: job()), jobs, chunksize=1)
+
 
-    def timed(item: tuple[str, Callable[[], int]]) -> Load:
-        table, job = item
+def load_all(jobs: Mapping[str, Callable[[], int]], parallel: int = 4) -> list[Load]:
+    """Run independent loads, each of which stores one table and returns its row count."""
+
+    def timed(table: str, job: Callable[[], int]) -> Load:
         began = time.perf_counter()
         rows = job()
         return Load(table, rows, time.perf_counter() - began)
 
-    with ThreadPool(max(1, min(parallel, len(jobs)))) as pool:
-        return pool.map(inheritable_thread_target(timed), jobs.items(), chunksize=1)
+    return side_by_side([partial(timed, table, job) for table, job in jobs.items()], parallel)
 
 
 def run_report(spark: SparkSession, loads: Sequence[Load]) -> DataFrame:

@@ -8,7 +8,7 @@ whole tables.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,21 +34,23 @@ def spelled(selector: str, *spellings: str) -> str:
     return choice(selector, *(f"'{s}'" for s in spellings))
 
 
-def mixed_date(year: str, month: str, day: str, key: str) -> str:
-    """Date text in either format, sometimes missing or impossible."""
-    y, m, d = digits(year, 4), digits(month, 2), digits(day, 2)
+def day_text(day: str, days: str = "") -> str:
+    """A date or timestamp as ``YYYY-MM-DD`` text, so many days later."""
+    later = f" + CAST({days} AS INT)" if days else ""
+    return text(f"CAST({day} AS DATE){later}")
+
+
+def mixed_date(day: str, key: str) -> str:
+    """``YYYY-MM-DD`` text in either format, sometimes missing or impossible."""
     return (
         f"CASE WHEN ({key}) % 31 = 0 THEN NULL WHEN ({key}) % 37 = 0 THEN '02/30/2024' "
         f"WHEN ({key}) % 41 = 0 THEN 'soon' WHEN ({key}) % 43 = 0 THEN '2/3/2024' "
-        f"WHEN ({key}) % 3 = 0 THEN {m} || '/' || {d} || '/' || {y} "
-        f"ELSE {y} || '-' || {m} || '-' || {d} END"
+        f"WHEN ({key}) % 3 = 0 "
+        f"THEN substr({day}, 6, 2) || '/' || substr({day}, 9, 2) || '/' || substr({day}, 1, 4) "
+        f"ELSE {day} END"
     )
 
 
-def mixed_date_of(column: str, key: str) -> str:
-    return mixed_date(f"year({column})", f"month({column})", f"day({column})", key)
-
-
 def date_number(column: str, years: int = 0) -> str:
     return f"((year({column}) + {years}) * 10000 + month({column}) * 100 + day({column}))"
 
@@ -75,17 +77,23 @@ _UNITS = "CAST(floor(l_quantity) AS INT)"
 
 @dataclass(frozen=True)
 class Extract:
-    """Columns over one test table, joined to another one on a key if ``join`` says so."""
+    """Columns over one test table, joined to another one on a key if ``join`` says so. ``prepared``
+    columns are added to the source first, for others to use."""
 
     source: str
     columns: dict[str, str]
     join: tuple[str, str] | None = None
+    prepared: dict[str, str] = field(default_factory=dict)
     distinct: bool = False
 
     def sql(self) -> str:
         columns = ", ".join(f"{e} AS {name}" for name, e in self.columns.items())
+        prepared = "".join(f", {e} AS {name}" for name, e in self.prepared.items())
         join = f" JOIN {self.join[0]} ON {self.join[1]}" if self.join else ""
-        return f"SELECT {'DISTINCT ' if self.distinct else ''}{columns} FROM {self.source}{join}"
+        return (
+            f"SELECT {'DISTINCT ' if self.distinct else ''}{columns} "
+            f"FROM (SELECT *{prepared} FROM {self.source}{join})"
+        )
 
 
 EXTRACTS: dict[str, Extract] = {
@@ -120,11 +128,7 @@ EXTRACTS: dict[str, Extract] = {
             "prd_cost": "CASE WHEN p_partkey % 50 = 0 THEN NULL "
             "ELSE CAST(floor(p_retailprice) AS INT) END",
             "prd_line": choice("p_partkey % 7", "'M'", "'R '", "'s'", "'T'", "NULL", "''", "' r'"),
-            "prd_start_dt": "CAST("
-            + text("2001 + (p_partkey * 7) % 5")
-            + " || '-0' || "
-            + text("1 + p_size % 3")
-            + " || '-01' AS DATE)",
+            "prd_start_dt": "DATE '2001-07-01' + CAST(p_partkey * 7 % 5 * 365 + p_size % 3 AS INT)",
             "prd_end_dt": "CAST(NULL AS DATE)",
         },
     ),
@@ -171,13 +175,12 @@ EXTRACTS: dict[str, Extract] = {
                 *("''", "NULL", "'abc'", f"'-' || {money('o_totalprice')}", "'12d'", "' 1e3 '"),
                 money("o_totalprice"),
             ),
-            "cmp_start_date": mixed_date_of("o_orderdate", "o_orderkey"),
-            "cmp_end_date": mixed_date(
-                "year(o_orderdate) + CASE WHEN o_orderkey % 9 = 0 THEN -1 ELSE 1 END",
-                "month(o_orderdate)",
-                "day(o_orderdate)",
-                "o_orderkey + 1",
-            ),
+            "cmp_start_date": mixed_date("first_day", "o_orderkey"),
+            "cmp_end_date": mixed_date("last_day", "o_orderkey + 1"),
+        },
+        prepared={
+            "first_day": day_text("o_orderdate"),
+            "last_day": day_text("o_orderdate", "o_orderkey * 7 % 100 - 10"),
         },
     ),
     "crm_supp_tkts": Extract(
@@ -212,22 +215,23 @@ EXTRACTS: dict[str, Extract] = {
                 *("open", "OPENED", "o", "Closed", "close", "Clsd", "Resolved", "Rsolvd"),
                 *("pend", "In Progress", "in_progress", "lost", " Closed "),
             ),
-            "tkt_open_date": mixed_date_of("ts", "event_id"),
-            "tkt_resolution_date": "CASE WHEN event_id % 4 = 0 THEN '' WHEN event_id % 29 = 0 THEN "
-            + mixed_date("year(ts) - 1", "month(ts)", "15", "event_id + 1")
-            + " ELSE "
-            + mixed_date("year(ts)", "12", "day(ts)", "event_id + 1")
+            "tkt_open_date": mixed_date("opened", "event_id"),
+            "tkt_resolution_date": "CASE WHEN event_id % 4 = 0 THEN '' ELSE "
+            + mixed_date("resolved", "event_id + 1")
             + " END",
         },
+        prepared={
+            "opened": day_text("ts"),
+            "resolved": day_text("ts", "event_id * 7 % 90 - 5"),
+        },
     ),
     "erp_cust_az12": Extract(
         "customer",
         {
             "cid": "CASE WHEN c_custkey % 3 = 0 THEN 'NAS' ELSE '' END || 'AW' || "
             + digits("c_custkey", 8),
-            "bdate": "CASE WHEN c_custkey % 71 = 0 THEN NULL ELSE CAST("
-            + text("1930 + c_custkey % 100")
-            + " || '-05-17' AS DATE) END",
+            "bdate": "CASE WHEN c_custkey % 71 = 0 THEN NULL "
+            "ELSE DATE '1930-05-17' + CAST(c_custkey * 401 % 36500 AS INT) END",
             "gen": choice(
                 "c_custkey % 7", "'F'", "'female'", "'MALE'", "'m '", "''", "NULL", "'Female'"
             ),
@@ -274,8 +278,9 @@ EXTRACTS: dict[str, Extract] = {
             "inv_reorder_level": choice(
                 f"{_LINE} % 23", "'many'", "'0'", text(f"{_LINE} % 40")
             ),
-            "inv_snap_date": mixed_date_of("l_shipdate", _LINE),
+            "inv_snap_date": mixed_date("shipped", _LINE),
         },
+        prepared={"shipped": day_text("l_shipdate")},
     ),
     # the last three of ten suppliers hand in a record of one vendor
     "erp_vnd_z90": Extract(
@@ -315,8 +320,9 @@ EXTRACTS: dict[str, Extract] = {
                 *("'$' || " + money("l_extendedprice"), "'N/A'", "'na'", "' '", "NULL", "'N.A.'"),
                 *("' $5'", text(_PRICE)),
             ),
-            "po_order_date": mixed_date_of("l_shipdate", _LINE),
+            "po_order_date": mixed_date("shipped", _LINE),
         },
+        prepared={"shipped": day_text("l_shipdate")},
     ),
     "erp_hr_hx19": Extract(
         "customer",
@@ -336,10 +342,9 @@ EXTRACTS: dict[str, Extract] = {
             "emp_branch_id": choice(
                 "c_custkey % 17", "''", "NULL", f"' BR' || {digits('c_nationkey', 3)}"
             ),
-            "emp_hire_date": mixed_date(
-                "2008 + c_custkey % 20", "1 + c_custkey % 12", "1 + c_custkey % 28", "c_custkey"
-            ),
+            "emp_hire_date": mixed_date("hired", "c_custkey"),
         },
+        prepared={"hired": day_text("DATE '2008-01-15'", "c_custkey * 37 % 7300")},
     ),
 }
 
@@ -353,6 +358,7 @@ def landed(spark: SparkSession, folder: str, name: str) -> DataFrame:
         left, right = condition.split(" = ")
         other_rows = table(spark, folder, other)
         rows = rows.join(other_rows, rows[left] == other_rows[right])
+    rows = rows.selectExpr("*", *(f"{e} AS {alias}" for alias, e in extract.prepared.items()))
     rows = rows.selectExpr(*(f"{e} AS {alias}" for alias, e in extract.columns.items()))
     if extract.distinct:
         rows = rows.distinct()

@@ -18,7 +18,7 @@ from tierloom.operators.references import exclude_orphans, flag_missing_ref
 from tierloom.session import new_table_path
 from tierloom.sources.landing import LANDING_SCHEMAS, type_by_position
 from tierloom.sources.tables import load_all, not_null_gate, run_report, with_audit, write_refresh
-from workload.extracts import digits, group_of, landed, mixed_date_of, money, product_number, spelled
+from workload.extracts import digits, group_of, landed, mixed_date, money, product_number, spelled
 from workload.extracts import text as as_text
 from workload.oracle import (
     sql_date,
@@ -292,16 +292,18 @@ def prefer_master(spark, folder):
 
 # --- dates -------------------------------------------------------------------------------------
 
-ORDER_DATE_TEXT = mixed_date_of("o_orderdate", "o_orderkey") + " AS raw"
+ORDER_DAY = "CAST(CAST(o_orderdate AS DATE) AS STRING) AS day"
+ORDER_DATE_TEXT = mixed_date("day", "o_orderkey") + " AS raw"
 
 
 @query(
     "parse_date_multi",
     f"SELECT o_orderkey, {sql_date('raw')} AS order_date "
-    f"FROM (SELECT o_orderkey, {ORDER_DATE_TEXT} FROM orders)",
+    f"FROM (SELECT o_orderkey, {ORDER_DATE_TEXT} FROM (SELECT *, {ORDER_DAY} FROM orders))",
 )
 def parse_date_multi(spark, folder):
-    return dirty(spark, folder, "orders", "o_orderkey", ORDER_DATE_TEXT).select(
+    orders = dirty(spark, folder, "orders", "o_orderkey", ORDER_DAY)
+    return orders.selectExpr("o_orderkey", ORDER_DATE_TEXT).select(
         "o_orderkey", dates.parse_date_multi(col("raw")).alias("order_date")
     )
 
@@ -619,11 +621,13 @@ def dedup_latest(spark, folder):
 @query(
     "dedup_latest_parsed",
     "SELECT * FROM (SELECT o_custkey, o_orderkey, "
-    f"{sql_date(mixed_date_of('o_orderdate', 'o_orderkey'))} AS order_date FROM orders) "
+    f"{sql_date('raw')} AS order_date "
+    f"FROM (SELECT *, {ORDER_DATE_TEXT} FROM (SELECT *, {ORDER_DAY} FROM orders))) "
     + sql_one_per("o_custkey", "order_date DESC NULLS LAST, o_orderkey"),
 )
 def dedup_latest_parsed(spark, folder):
-    parsed = dirty(spark, folder, "orders", "o_custkey", "o_orderkey", ORDER_DATE_TEXT).select(
+    orders = dirty(spark, folder, "orders", "o_custkey", "o_orderkey", ORDER_DAY)
+    parsed = orders.selectExpr("o_custkey", "o_orderkey", ORDER_DATE_TEXT).select(
         "o_custkey", "o_orderkey", dates.parse_date_multi(col("raw")).alias("order_date")
     )
     return latest_per_key(parsed, ["o_custkey"], "order_date")
