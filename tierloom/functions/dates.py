@@ -36,12 +36,22 @@ def parse_date_multi(c: Column) -> Column:
 
 
 def parse_yyyymmdd(c: Column) -> Column:
-    """Date from a whole number such as 20121228; 0, other lengths and impossible days are NULL."""
-    digits = c.cast("string")
-    text = F.concat_ws(
-        "-", F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2)
+    """Date from a whole number such as 20121228; 0, other lengths and impossible days are NULL.
+
+    The parts are taken by arithmetic and checked before the date is made, so no text is built and
+    nothing is thrown for a number that is no date.
+    """
+    year = F.call_function("div", c, F.lit(10000)).cast("int")
+    month = F.call_function("div", c % 10000, F.lit(100)).cast("int")
+    day = c % 100
+    leap = (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
+    last_day = (
+        F.when(month == 2, F.when(leap, F.lit(29)).otherwise(F.lit(28)))
+        .when(month.isin(4, 6, 9, 11), F.lit(30))
+        .otherwise(F.lit(31))
     )
-    return F.when(F.length(digits) == 8, text.try_cast("date"))
+    is_date = c.between(10000000, 99999999) & month.between(1, 12) & day.between(F.lit(1), last_day)
+    return F.when(is_date, F.make_date(year, month, day))
 
 
 def null_if_after(c: Column, as_of) -> Column:

@@ -179,11 +179,12 @@ def clean_inventory(landed: DataFrame, products: DataFrame) -> DataFrame:
         "inv_id",
         numbers.safe_int(col("inv_prd_id")).alias("inv_prd_id"),
         text.upper_code(col("inv_wh_loc")).alias("inv_wh_loc"),
-        numbers.floor_at(numbers.safe_int(col("inv_stock_on_hand")), 0).alias("inv_stock_on_hand"),
+        numbers.safe_int(col("inv_stock_on_hand")).alias("inv_stock_on_hand"),
         numbers.safe_int(col("inv_reorder_level")).alias("inv_reorder_level"),
         dates.parse_date_multi(col("inv_snap_date")).alias("inv_snap_date"),
     )
-    known = exclude_orphans(parsed, "inv_prd_id", products, "prd_id")
+    floored = parsed.withColumn("inv_stock_on_hand", numbers.floor_at(col("inv_stock_on_hand"), 0))
+    known = exclude_orphans(floored, "inv_prd_id", products, "prd_id")
     return latest_per_key(known, ["inv_id"], "inv_snap_date").select(
         "inv_id",
         "inv_prd_id",

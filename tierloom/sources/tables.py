@@ -77,7 +77,7 @@ def write_refresh(
     return rows.get["rows"]
 
 
-def side_by_side(jobs: Sequence[Callable], parallel: int = 4) -> list:
+def side_by_side(jobs: Sequence[Callable], parallel: int = 8) -> list:
     """Results of independent jobs run from driver threads; the first failure is raised.
 
     Spark shares the executors between them, so that small jobs do not wait for the stragglers of big
@@ -87,7 +87,7 @@ def side_by_side(jobs: Sequence[Callable], parallel: int = 4) -> list:
         return pool.map(inheritable_thread_target(lambda job: job()), jobs, chunksize=1)
 
 
-def load_all(jobs: Mapping[str, Callable[[], int]], parallel: int = 4) -> list[Load]:
+def load_all(jobs: Mapping[str, Callable[[], int]], parallel: int = 8) -> list[Load]:
     """Run independent loads, each of which stores one table and returns its row count."""
 
     def timed(table: str, job: Callable[[], int]) -> Load:
