@@ -101,6 +101,8 @@ def read_landing(
         .option("encoding", "UTF-8")
         .option("quote", "")
         .option("columnNameOfCorruptRecord", REJECTED)
+        # with pruning, what counts as a misfit would depend on the columns a query selects
+        .option("columnPruning", False)
         .csv(path)
     )
     if file_order:

@@ -83,8 +83,9 @@ def side_by_side(jobs: Sequence[Callable], parallel: int = 8) -> list:
     Spark shares the executors between them, so that small jobs do not wait for the stragglers of big
     ones.
     """
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPool(max(1, min(parallel, len(jobs)))) as pool:
-        return pool.map(inheritable_thread_target(lambda job: job()), jobs, chunksize=1)
+        return pool.map(inherit(lambda job: job()), jobs, chunksize=1)
 
 
 def load_all(jobs: Mapping[str, Callable[[], int]], parallel: int = 8) -> list[Load]:
