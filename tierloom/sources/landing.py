@@ -118,7 +118,11 @@ def read_landing(
 
 
 def split_rejected(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows that fit the schema, without the marker column, and those that do not, with it."""
+    """The rows that fit the schema, without the marker column, and those that do not, with it.
+
+    Store either before asking for less than its rows: Spark refuses to run a query on the files
+    themselves that needs no column but the marker, such as a bare count.
+    """
     fits = F.col(REJECTED).isNull()
     return rows.filter(fits).drop(REJECTED), rows.filter(~fits)
 

@@ -31,7 +31,8 @@ def choice(selector: str, *options: str) -> str:
 
 
 def spelled(selector: str, *spellings: str) -> str:
-    return choice(selector, *(f"'{s}'" for s in spellings))
+    """The spelling at the selector's value, looked up in one string to keep the expression short."""
+    return f"split_part('{'|'.join(spellings)}', '|', CAST({selector} + 1 AS INT))"
 
 
 def day_text(day: str, days: str = "") -> str:
@@ -192,13 +193,8 @@ EXTRACTS: dict[str, Extract] = {
             ),
             "tkt_prd_key": choice(
                 "event_id % 8",
-                "''",
-                f"'PRD-' || {product_number('event_id % 800')}",
-                f"'HL_U' || {digits('event_id % 800', 6)}",
-                f"'PRD-HL_U' || {digits('event_id % 800', 6)}",
-                f"' ' || {product_number('event_id % 800')} || ' '",
-                "NULL",
-                product_number("event_id % 800"),
+                *("''", "'PRD-' || product", "replace(product, '-', '_')"),
+                *("'PRD-' || replace(product, '-', '_')", "' ' || product || ' '", "NULL", "product"),
             ),
             "tkt_emp_id": choice(
                 "event_id % 25",
@@ -221,6 +217,7 @@ EXTRACTS: dict[str, Extract] = {
             + " END",
         },
         prepared={
+            "product": product_number("event_id % 800"),
             "opened": day_text("ts"),
             "resolved": day_text("ts", "event_id * 7 % 90 - 5"),
         },
