@@ -37,6 +37,7 @@ def top_customers(sales: DataFrame, customers: DataFrame, n: int = 10) -> DataFr
             "total_sales",
         )
         .orderBy(col("total_sales").desc_nulls_last(), "customer_id")
+        .limit(n)
     )
 
 
