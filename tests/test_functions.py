@@ -125,6 +125,13 @@ def test_date_from_number(evaluate):
     assert evaluate("x int", [(v,) for v in given], dates.parse_yyyymmdd(col("x"))) == expected
 
 
+def test_strict_date_from_number(evaluate):
+    strict = dates.parse_yyyymmdd(col("x"), strict=True)
+    assert evaluate("x int", [(20121228,), (0,), (2012,)], strict) == [d("2012-12-28"), None, None]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        evaluate("x int", [(20130231,)], strict)
+
+
 LINES = [(None, 2, 5), (0, 2, 5), (11, 2, 5), (10, 2, -5), (10, 3, None), (10, 0, None), (-7, 2, 0)]
 
 

@@ -25,6 +25,7 @@ from tierloom.sources.tables import (
     run_report,
     with_audit,
     write_refresh,
+    write_table,
 )
 
 
@@ -98,6 +99,13 @@ def test_refresh_by_partition(spark, tmp_path):
     assert sorted(x.name for x in (tmp_path / "t").glob("p=*")) == ["p=0", "p=1"]
 
 
+def test_catalog_table_is_replaced(spark, tmp_path):
+    for n in (5, 3):
+        write_table(spark.range(n), "plain", path=str(tmp_path / "plain"))
+    assert spark.table("plain").count() == 3
+    spark.sql("DROP TABLE plain")
+
+
 def test_audit_time(spark):
     stamped = with_audit(spark.range(1), datetime(2024, 1, 2, 3))
     assert stamped.first()[AUDIT_COLUMN] == datetime(2024, 1, 2, 3)

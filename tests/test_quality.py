@@ -115,3 +115,11 @@ def test_match_rate_reports_of_the_other_facts(spark):
 def test_profile(lines):
     profile = {r.column_name: tuple(r)[1:] for r in quality.column_profile(lines, ["code", "id"]).collect()}
     assert profile == {"code": (5, 1, 1, 4, 0), "id": (5, 0, 0, 3, 2)}
+
+
+def test_values(lines):
+    counted = {(r.column_name, r.value): r.row_count for r in quality.column_values(lines, ["part", "vendor"]).collect()}
+    assert counted == {
+        ("part", "2"): 3, ("part", "4"): 1, ("part", "3"): 1,
+        ("vendor", "V1"): 2, ("vendor", "V9"): 1, ("vendor", "V2"): 1, ("vendor", None): 1,
+    }

@@ -35,9 +35,11 @@ def parse_date_multi(c: Column) -> Column:
     return text.try_cast("date")
 
 
-def parse_yyyymmdd(c: Column) -> Column:
+def parse_yyyymmdd(c: Column, strict: bool = False) -> Column:
     """Date from a whole number such as 20121228; 0, other lengths and impossible days are NULL.
 
+    ``strict`` fails the query at an impossible day of the right length instead.
+
     Kept short on purpose: taking the parts by arithmetic is quicker for one column, but three of them
     make the generated method too long for the JVM to compile.
     """
@@ -49,7 +51,8 @@ def parse_yyyymmdd(c: Column) -> Column:
         F.lit("-"),
         F.substring(digits, 7, 2),
     )
-    return F.when(F.length(digits) == 8, text.try_cast("date"))
+    day = text.cast("date") if strict else text.try_cast("date")
+    return F.when(F.length(digits) == 8, day)
 
 
 def null_if_after(c: Column, as_of) -> Column:

@@ -198,30 +198,36 @@ def match_rates(fact: DataFrame, total: str, resolved: Mapping[str, str]) -> Dat
     )
 
 
-def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per column: rows, NULLs, blanks, distinct values and rows that repeat an earlier value.
+def column_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column_name``, ``value`` (as text) and ``row_count`` of every value in the columns.
 
-    Columns are laid out as (column, value) and counted per pair, combined before the shuffle. This
-    spreads by value, not by column, and costs one exchange however many columns there are.
+    Columns are laid out as (column, value) pairs, counted per pair and combined before the shuffle.
+    This spreads by value, not by column, and is one exchange however many columns there are.
     """
     pairs = F.array(
         *(
-            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("_value"))
+            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
             for c in columns
         )
     )
-    counted = (
+    return (
         df.select(F.inline(pairs))
-        .groupBy("column_name", "_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy("column_name", "value")
+        .agg(F.count(F.lit(1)).alias("row_count"))
     )
-    present = F.col("_value").isNotNull()
-    return counted.groupBy("column_name").agg(
-        F.sum("_n").alias("row_count"),
-        F.coalesce(F.sum(F.when(~present, F.col("_n"))), F.lit(0)).alias("null_count"),
-        F.coalesce(
-            F.sum(F.when(F.trim("_value") == "", F.col("_n"))), F.lit(0)
-        ).alias("blank_count"),
-        F.count("_value").alias("distinct_count"),
-        F.coalesce(F.sum(F.when(present, F.col("_n") - 1)), F.lit(0)).alias("repeated_count"),
+
+
+def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per column: rows, NULLs, blanks, distinct values and rows that repeat another one's value."""
+
+    def rows_where(condition, rows):
+        return F.coalesce(F.sum(F.when(condition, rows)), F.lit(0))
+
+    value, rows = F.col("value"), F.col("row_count")
+    return column_values(df, columns).groupBy("column_name").agg(
+        F.sum(rows).alias("row_count"),
+        rows_where(value.isNull(), rows).alias("null_count"),
+        rows_where(F.trim(value) == "", rows).alias("blank_count"),
+        F.count(value).alias("distinct_count"),
+        rows_where(value.isNotNull(), rows - 1).alias("repeated_count"),
     )

@@ -58,15 +58,16 @@ def clean_products(landed: DataFrame) -> DataFrame:
     )
 
 
-def clean_sales(landed: DataFrame) -> DataFrame:
-    """Order lines with real dates and consistent amounts; lines are not deduplicated."""
+def clean_sales(landed: DataFrame, strict_dates: bool = False) -> DataFrame:
+    """Order lines with real dates and consistent amounts; lines are not deduplicated. With
+    ``strict_dates`` an eight-digit number that is no date fails the load instead of giving NULL."""
     amount, quantity, price = col("sls_sales"), col("sls_quantity"), col("sls_price")
     return landed.select(
         "sls_ord_num",
         "sls_prd_key",
         "sls_cst_id",
         *(
-            dates.parse_yyyymmdd(col(c)).alias(c)
+            dates.parse_yyyymmdd(col(c), strict_dates).alias(c)
             for c in ("sls_order_dt", "sls_ship_dt", "sls_due_dt")
         ),
         numbers.repair_amount(amount, quantity, price).alias("sls_sales"),

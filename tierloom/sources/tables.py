@@ -10,7 +10,7 @@ from functools import partial, reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 AUDIT_COLUMN = "dwh_create_date"
@@ -62,19 +62,38 @@ def assert_required(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return checked
 
 
+def _write_counted(
+    df: DataFrame, columns: Sequence[str] | None, write: Callable[[DataFrameWriter], None]
+) -> int:
+    """Replace a table by ``df``. Rows are counted while they are written, at no extra pass."""
+    rows = Observation()
+    chosen = df.select(*columns) if columns else df
+    write(chosen.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite"))
+    return rows.get["rows"]
+
+
 def write_refresh(
     df: DataFrame, path: str, columns: Sequence[str] | None = None, partition_by: Sequence[str] = ()
 ) -> int:
     """Replace the table at ``path`` by ``df`` and return its number of rows.
 
     Running it again gives the same table. ``columns`` fixes which columns are stored and in which
-    order. Rows are counted while they are written, at no extra pass.
+    order.
     """
-    rows = Observation()
-    chosen = df.select(*columns) if columns else df
-    observed = chosen.observe(rows, F.count(F.lit(1)).alias("rows"))
-    observed.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return rows.get["rows"]
+    return _write_counted(df, columns, lambda w: w.partitionBy(*partition_by).parquet(path))
+
+
+def write_table(
+    df: DataFrame, name: str, columns: Sequence[str] | None = None, path: str | None = None
+) -> int:
+    """Replace the catalog table ``name`` by ``df`` and return its number of rows. ``path`` makes it an
+    external table there."""
+
+    def write(writer: DataFrameWriter) -> None:
+        located = writer.option("path", path) if path else writer
+        located.format("parquet").saveAsTable(name)
+
+    return _write_counted(df, columns, write)
 
 
 def side_by_side(jobs: Sequence[Callable], parallel: int = 8) -> list:

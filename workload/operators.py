@@ -794,6 +794,21 @@ def profile_of_campaigns(spark, folder):
     return quality.column_profile(campaigns, PROFILED)
 
 
+@query(
+    "column_values",
+    with_tables(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS row_count "
+            f"FROM landed_crm_supp_tkts GROUP BY {c}"
+            for c in ("tkt_status", "tkt_issue_cat", "tkt_cst_id")
+        )
+    ),
+)
+def values_of_tickets(spark, folder):
+    tickets = landed(spark, folder, "crm_supp_tkts")
+    return quality.column_values(tickets, ["tkt_status", "tkt_issue_cat", "tkt_cst_id"])
+
+
 # --- landing and storing -----------------------------------------------------------------------
 
 
