@@ -1,6 +1,6 @@
 """Extracts as files: reading, typing, storing."""
 
-from datetime import date, datetime
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F

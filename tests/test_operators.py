@@ -15,7 +15,7 @@ from tierloom.operators.references import exclude_orphans, flag_missing_ref, res
 
 DAY = timedelta(days=1)
 RELAXED = settings(
-    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=12, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 
 

@@ -18,7 +18,7 @@ from tierloom.operators.references import exclude_orphans, flag_missing_ref
 from tierloom.session import new_table_path
 from tierloom.sources.landing import LANDING_SCHEMAS, type_by_position
 from tierloom.sources.tables import load_all, not_null_gate, run_report, with_audit, write_refresh
-from workload.extracts import digits, group_of, landed, mixed_date, money, product_number, spelled
+from workload.extracts import digits, landed, mixed_date, money, product_number, spelled
 from workload.extracts import text as as_text
 from workload.oracle import (
     sql_date,
