@@ -4,8 +4,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tools.check_oracle import compare, connect
+from workload.registry import ORACLE_SQL, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -18,13 +19,13 @@ def oracle():
 
 
 def test_all_but_the_timed_report_have_sql():
-    assert set(queries()) - set(oracle_sql()) == {"load_report"}
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLE_SQL) == {"load_report"}
+    assert set(ORACLE_SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, oracle, name):
-    result = compare(spark, oracle, FOLDER, name, queries()[name], oracle_sql().get(name))
+    result = compare(spark, oracle, FOLDER, name, QUERIES[name], ORACLE_SQL.get(name))
     assert not result.startswith("FAIL"), result
 
 
