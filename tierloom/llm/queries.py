@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm import bpe, embedding_dedup, fingerprints, ngram_join, warc
+from tierloom.llm import bpe, embedding_dedup, fingerprints, mixing, ngram_join, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 REGISTERED_SQL: dict[str, str] = {}
@@ -73,3 +73,19 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_fingerprints")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, folder, "documents"))
+
+
+@query("op7_sharding")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    shards = sharding.sharded(table(spark, folder, "documents"), 8)
+    text = F.coalesce("row.text", F.lit("")).cast("binary")
+    return shards.select(
+        F.col("row.doc_id").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op10_mixing")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    plan = mixing.planned(table(spark, folder, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "shards")
