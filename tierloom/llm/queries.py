@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm import bpe, embedding_dedup, fingerprints, mixing, ngram_join, sharding, warc
+from tierloom.llm import bpe, embedding_dedup, fingerprints, language, mixing, ngram_join, sharding, warc
+from tierloom.llm.common import fold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 REGISTERED_SQL: dict[str, str] = {}
 
 BPE_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(name: str, sql: str | None = None):
@@ -89,3 +91,11 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     plan = mixing.planned(table(spark, folder, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "shards")
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(fold_of("doc_id", 4) == 2, F.lit(False))
+    model = language.train(docs.where(~held_out), PIECE_VOCABULARY)
+    return language.predicted(docs, model, PIECE_VOCABULARY).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
