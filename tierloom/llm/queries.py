@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm import bpe, embedding_dedup, fingerprints, language, mixing, ngram_join, sharding, warc
+from tierloom.llm import bpe, embedding_dedup, fingerprints, language, mixing, ngram_join, sharding, toxicity, warc
 from tierloom.llm.common import fold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(fold_of("doc_id", 4) == 2, F.lit(False))
     model = language.train(docs.where(~held_out), PIECE_VOCABULARY)
     return language.predicted(docs, model, PIECE_VOCABULARY).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = F.coalesce(fold_of("doc_id", 5) == 0, F.lit(False))
+    model = toxicity.fit(docs, toxicity.labelled(docs, labels.where(~held_out)))
+    return toxicity.scored(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
