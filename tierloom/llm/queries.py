@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm import bpe, embedding_dedup, fingerprints, language, mixing, ngram_join, sharding, toxicity, warc
+from tierloom.llm import bpe, embedding_dedup, fingerprints, language, lm, mixing, ngram_join, sharding, toxicity, warc
 from tierloom.llm.common import fold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,13 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(fold_of("doc_id", 5) == 0, F.lit(False))
     model = toxicity.fit(docs, toxicity.labelled(docs, labels.where(~held_out)))
     return toxicity.scored(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op1_lm_score")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(fold_of("doc_id", 7) == 2, F.lit(False))
+    train = docs.where(~held_out)
+    counts = lm.counted(train)
+    scores = lm.scored(docs, counts, lm.trained(train, counts))
+    return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
