@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tierloom.session import new_table_path
 
@@ -81,3 +82,10 @@ def utf8_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint8), np.zeros(len(filled) + 1, np.int64)
     data = np.frombuffer(filled.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]]
     return data, offsets - offsets[0]
+
+
+def carried(docs: DataFrame, id_column: str, whole: bool) -> tuple[Column, StructField]:
+    """What an operator hands on of each row beside its results: the id as a number, or the ``whole`` row as the struct ``row``."""
+    if whole:
+        return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), StructField("row", StructType(docs.schema.fields))
+    return F.col(id_column).cast("long").alias(id_column), StructField(id_column, LongType())

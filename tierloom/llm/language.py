@@ -18,8 +18,9 @@ import sentencepiece
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tierloom.llm.common import slices_by_bytes, stored
+from tierloom.llm.common import carried, slices_by_bytes, stored
 from tierloom.llm.words import mix
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -228,19 +229,23 @@ def _predicted(name: str, model: dict[str, tuple[float, np.ndarray]]):
                     best.append(langs[k])
                     score.append(float(share[k] / share.sum()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, stop - start), pa.array(best, pa.string()), pa.array(score, pa.float64())], ["id", "lang_pred", "score"]
+                    [batch.column(0).slice(start, stop - start), pa.array(best, pa.string()), pa.array(score, pa.float64())], [batch.schema.names[0], "lang_pred", "score"]
                 )
 
     return run
 
 
-def predicted(docs: DataFrame, model: dict[str, tuple[float, np.ndarray]], vocabulary_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def predicted(
+    docs: DataFrame, model: dict[str, tuple[float, np.ndarray]], vocabulary_path: str, id_column: str = "doc_id", text_column: str = "text", whole: bool = False
+) -> DataFrame:
     """``id, lang_pred, score`` for every row of ``docs``: the likeliest language of the whole text and its posterior probability.
 
     Words are runs of letters, lowered. Texts that are NULL or hold no letter, and all texts if the model knows no language, are
-    ``und`` with score 0. Of equally likely languages the first by name wins. Repeated rows and NULL ids give a row each; other columns are ignored.
+    ``und`` with score 0. Of equally likely languages the first by name wins. Repeated rows and NULL ids give a row each; other columns are
+    ignored, or with ``whole`` handed on inside ``row``, which takes the id's place.
     """
     name = vocabulary_path.rsplit("/", 1)[-1]
     docs.sparkSession.sparkContext.addFile(vocabulary_path)
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(_predicted(name, model), "id long, lang_pred string, score double").withColumnRenamed("id", id_column)
+    kept, field = carried(docs, id_column, whole)
+    schema = StructType([field, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return docs.select(kept, F.col(text_column).alias("_text")).mapInArrow(_predicted(name, model), schema)

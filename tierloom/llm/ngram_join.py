@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierloom.llm.common import grouped, shuffle_partitions, slices_by_bytes, stored, utf8_bytes
@@ -257,28 +257,45 @@ def similar(sets: list[np.ndarray], threshold: float) -> np.ndarray:
     return common * 10**9 >= np.int64(round(threshold * 10**9)) * union
 
 
+def _keys(id_column: str, text_column: str) -> list[Column]:
+    """Two hashes that tell rows of different ids or texts apart."""
+    return [F.xxhash64(id_column, text_column).alias("key"), F.hash(text_column, id_column).alias("check")]
+
+
+def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **parameters) -> DataFrame:
+    """One row of each class of ``similar_documents``, that of the smallest id, with all its columns.
+
+    Of rows that repeat an id and its text one stays.
+    """
+    kept = classified(docs, id_column, text_column, **parameters).where("kept").select("key", "check").distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *_keys(id_column, text_column))
+    return rows.join(kept, ["key", "check"], "left_semi").dropDuplicates(["key", "check"]).select("row.*")
+
+
 def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """``id, class_id, n_links, kept`` for every row of ``docs``.
+    """``id, class_id, n_links, kept`` for every row of ``docs``; see ``classified``."""
+    return classified(docs, id_column, text_column, shingle, threshold).drop("key", "check")
+
+
+def classified(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
+    """``id, key, check, class_id, n_links, kept`` for every row of ``docs``.
 
     Words are runs of characters other than ASCII white space, A-Z lowered; a document is the set of its runs of
     ``shingle`` words, or the whole of a shorter text. Two documents are linked if the Jaccard similarity of these
     sets is at least ``threshold``. ``n_links`` counts the other rows linked directly, ``class_id`` is the smallest id
-    reachable by links, ``kept`` is true for one row of each class (the smallest id).
+    reachable by links, ``kept`` is true for one text of each class (that of the smallest id). ``key`` and ``check`` are hashes of id and text.
 
     * Equal texts are one text with a number of copies, however many there are.
     * NULL, empty and blank texts have no shingles and are linked with nothing: each is a class, and kept.
     * Rows that repeat an id and its text are copies of each other; all of them carry ``kept``. A NULL id
-      leads a class only if the class has no other; then all its rows are kept.
+      leads a class only if the class has no other; then rows of one of its texts are kept.
     * Long texts are compared whole. Other columns are ignored, so their names cannot clash.
 
     Signatures, candidate edges and components are tables in the shared folder.
     """
     width = shuffle_partitions(docs.sparkSession)
     text = F.col(text_column)
-    rows = docs.select(
-        F.col(id_column).cast("long").alias("id"), F.xxhash64(id_column, text).alias("key"),
-        F.hash(text, F.col(id_column)).alias("check"), text.alias("text"),
-    )
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), *_keys(id_column, text_column), text.alias("text"))
     signed = stored(rows.mapInArrow(_signatures(shingle), SIGNATURES), "signatures")
     worded = signed.where("node IS NOT NULL")
     texts = worded.groupBy("node").agg(
@@ -309,11 +326,11 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: s
     links = linked.groupBy("node").agg(F.sum("links").alias("links"))
     classes = components(linked.select(F.col("node").alias("a"), F.col("to").alias("b")))
     about = texts.select("node", "copies", "least_id").join(links, "node", "left").join(classes, "node", "left")
-    return with_classes(signed.select("id", "node"), about, id_column)
+    return with_classes(signed.select("id", "key", "check", "node"), about, id_column)
 
 
 def with_classes(rows: DataFrame, about: DataFrame, id_column: str) -> DataFrame:
-    """``id, class_id, n_links, kept`` of ``rows`` (id, node), from ``about`` (node, copies, least_id, links, component).
+    """``id, key, check, class_id, n_links, kept`` of ``rows`` (id, key, check, node), from ``about`` (node, copies, least_id, links, component).
 
     Both sides of the joins are stored tables, so Spark deals them out itself and may split a node or class that
     holds much of all rows.
@@ -325,11 +342,12 @@ def with_classes(rows: DataFrame, about: DataFrame, id_column: str) -> DataFrame
         ),
         "about",
     )
-    leads = stored(about.groupBy("class").agg(F.min("least_id").alias("class_id")), "leads")
-    about = stored(about.join(leads, "class").select("node", "links", "class_id"), "about")
+    lead = F.min(F.struct(F.col("least_id").isNull().alias("none"), F.col("least_id").alias("class_id"), F.col("node").alias("lead")))
+    leads = stored(about.groupBy("class").agg(lead.alias("least")).select("class", "least.class_id", "least.lead"), "leads")
+    about = stored(about.join(leads, "class").select("node", "links", "class_id", (F.col("node") == F.col("lead")).alias("leads")), "about")
     return rows.join(about, "node", "left").select(
-        F.col("id").alias(id_column),
+        F.col("id").alias(id_column), "key", "check",
         F.when(F.col("links").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-        (F.col("links").isNull() | F.col("id").eqNullSafe(F.col("class_id"))).alias("kept"),
+        (F.col("links").isNull() | F.col("leads") & F.col("id").eqNullSafe(F.col("class_id"))).alias("kept"),
     )

@@ -7,18 +7,19 @@ accuracy under either class and its correlation with one other voter. Its poster
 
 from __future__ import annotations
 
+import dataclasses
 import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tierloom.llm.common import slices_by_bytes
+from tierloom.llm.common import carried, slices_by_bytes
 from tierloom.llm.words import mix
 
 #: Labelled texts, in the order of a hash of their ids, that lexicons and classifier are fitted on; all if there are fewer.
@@ -49,12 +50,12 @@ VOTERS = len(INSULTS) + len(PATTERNS) + 2 * LEXICONS
 FEATURES = 2 * VOTERS + 6
 
 
-@dataclass
+@dataclasses.dataclass
 class Lexicon:
     """Entries with their weights, and the voter each belongs to."""
 
-    words: dict[str, float] = field(default_factory=dict)
-    beginnings: dict[str, float] = field(default_factory=dict)
+    words: dict[str, float] = dataclasses.field(default_factory=dict)
+    beginnings: dict[str, float] = dataclasses.field(default_factory=dict)
 
     def votes(self, text: str) -> tuple[int, np.ndarray]:
         """Bits of the voters that call ``text`` toxic, and the features of the classifier."""
@@ -87,7 +88,7 @@ def _voter(entry: str) -> int:
     return sum(map(ord, entry)) % LEXICONS
 
 
-@dataclass
+@dataclasses.dataclass
 class Model:
     lexicon: Lexicon
     weights: np.ndarray
@@ -282,14 +283,17 @@ def _scored(model: Model):
             for text in batch.column(1):
                 z = float(model.lexicon.votes(text.as_py() or "")[1] @ model.weights[:-1] + model.weights[-1])
                 scores.append(1 / (1 + math.exp(-max(-500.0, min(500.0, z)))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], [batch.schema.names[0], "score"])
 
     return run
 
 
-def scored(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``id, score, predicted`` for every row of ``docs``: whole texts, NULL as the empty one. Repeated rows and NULL ids give a row each;
-    other columns are ignored."""
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    out = rows.mapInArrow(_scored(model), "id long, score double")
-    return out.select(F.col("id").alias(id_column), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+def scored(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text", whole: bool = False) -> DataFrame:
+    """``id, score, predicted`` for every row of ``docs``: whole texts, NULL as the empty one.
+
+    Repeated rows and NULL ids give a row each. Other columns are ignored, or with ``whole`` handed on inside ``row``, which takes the
+    id's place.
+    """
+    kept, field = carried(docs, id_column, whole)
+    out = docs.select(kept, F.col(text_column).alias("_text")).mapInArrow(_scored(model), StructType([field, StructField("score", DoubleType())]))
+    return out.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
