@@ -181,8 +181,10 @@ class LabelModel:
         bits, labels = self.bits, np.maximum(known, 0)
         start = np.where(bits.any(axis=1), 0.9, 0.02)
         posterior = np.where(known >= 0, np.where(labels == 1, 0.95, 0.02), start)
-        for _ in range(rounds):
-            classes = np.stack([1 - posterior, posterior]) * weight
+        for k in range(rounds):
+            # rows without a label join when the labelled ones have told what the votes are worth
+            counted = weight * (known >= 0) if k == 0 and (known >= 0).any() else weight
+            classes = np.stack([1 - posterior, posterior]) * counted
             prior = (classes.sum(axis=1) + 1) / (classes.sum() + 2)
             # counts of (class, vote i, vote j), for all pairs of voters
             on = np.einsum("cn,ni,nj->cij", classes, bits, bits)
