@@ -24,8 +24,8 @@ TEXT_CASES = {
     ),
     "money": (
         lambda: numbers.parse_money(col("x")),
-        ["$12.50", "N/A", "na", "N.A.", "", "7", "abc", " 8 ", " $5", "$", None],
-        [12.5, None, None, None, None, 7.0, None, 8.0, None, None, None],
+        ["$12.50", "N/A", "na", "N.A.", "", "7", "abc", " 8 ", " $5", "$", None, "$" + "1" * 60],
+        [12.5, None, None, None, None, 7.0, None, 8.0, None, None, None, float("1" * 60)],
     ),
     "rounded quantity": (
         lambda: numbers.round_int(col("x")),
@@ -40,6 +40,10 @@ TEXT_CASES = {
         lambda: numbers.safe_int(col("x")), ["12", " 12 ", "-3", "+4", "12.5", "9999999999", "", None],
         [12, 12, -3, 4, None, None, None, None],
     ),
+    "id": (
+        lambda: numbers.safe_long(col("x")), ["12", "9999999999", "99999999999999999999", "x", None],
+        [12, 9999999999, None, None, None],
+    ),
     "number": (
         lambda: numbers.safe_double(col("x")), ["1e3", ".5", "5.", "12d", "NaN", "Infinity", "0x1", ""],
         [1000.0, 0.5, 5.0, None, None, None, None, None],
@@ -49,12 +53,12 @@ TEXT_CASES = {
     ),
     "customer id": (
         lambda: numbers.null_if_sentinel(col("x"), fixed.UNKNOWN_CUSTOMER_ID),
-        ["", "999999", "11000", "abc", None], [None, None, 11000, None, None],
+        ["", "999999", "11000", "abc", None, "9999999999"], [None, None, 11000, None, None, 9999999999],
     ),
     "employee id": (
         lambda: text.null_if_suffix_above(col("x"), 4, fixed.LAST_EMPLOYEE_NUMBER),
-        ["EMP300", "EMP301", " EMP007 ", "EMPX", "EMP", "", None],
-        ["EMP300", None, "EMP007", "EMPX", "EMP", None, None],
+        ["EMP300", "EMP301", " EMP007 ", "EMPX", "EMP", "", None, "EMP00000000000301", "EMP9999999999", "EMP00000000000300", "EMP" + "9" * 40],
+        ["EMP300", None, "EMP007", "EMPX", "EMP", None, None, None, None, "EMP00000000000300", None],
     ),
     "product key": (
         lambda: text.repair_key(col("x"), fixed.TICKET_PRODUCT_PREFIX),

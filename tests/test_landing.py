@@ -1,11 +1,13 @@
 """Extracts as files: reading, typing, storing."""
 
+import os
+import time
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from tierloom.session import CHECKPOINT_SETTING, new_table_path, shared_folder
+from tierloom.session import CHECKPOINT_SETTING, drop_stored, new_table_path, shared_folder
 from tierloom.sources.landing import (
     FILE_ORDER,
     LANDING_FILES,
@@ -13,7 +15,6 @@ from tierloom.sources.landing import (
     REJECTED,
     read_landing,
     split_rejected,
-    type_by_position,
 )
 from tierloom.sources.tables import (
     AUDIT_COLUMN,
@@ -76,15 +77,6 @@ def test_file_order(spark, tmp_path):
     assert [r.vnd_id for r in ordered.collect()] == [f"V{9 - i}" for i in range(9)]
 
 
-def test_text_table_by_position(spark):
-    df = spark.createDataFrame([("SO1", "P", "7"), ("SO2", "Q", "x")], "a string, b string, c string")
-    schema = LANDING_SCHEMAS["crm_sales_details"]
-    chosen = type(schema)(schema.fields[:3])
-    assert [tuple(r) for r in type_by_position(df, chosen).collect()] == [("SO1", "P", 7), ("SO2", "Q", None)]
-    with pytest.raises(ValueError):
-        type_by_position(df, schema)
-
-
 def test_refresh_replaces(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(7).select("id", F.lit("x").alias("extra"))
@@ -130,6 +122,39 @@ def test_load_report(spark, tmp_path):
     assert all(r.seconds > 0 for r in report.values())
 
 
+def test_a_batch_takes_as_long_as_its_longest_load(spark):
+    def nap():
+        time.sleep(0.5)
+        return 1
+
+    loads = load_all({name: nap for name in "abcd"})
+    assert 0.5 <= loads.seconds < 1.2 and sum(x.seconds for x in loads) >= 2
+
+
+def test_a_load_starts_when_the_one_it_needs_is_done(spark):
+    done = []
+
+    def load(name, seconds=0.0):
+        time.sleep(seconds)
+        done.append(name)
+        return 1
+
+    jobs = {"needs slow": lambda: load("needs slow"), "slow": lambda: load("slow", 0.3), "needs quick": lambda: load("needs quick"), "quick": lambda: load("quick")}
+    load_all(jobs, after={"needs slow": "slow", "needs quick": "quick"})
+    assert done == ["quick", "needs quick", "slow", "needs slow"]
+    jobs["quick"] = lambda: 1 / 0
+    with pytest.raises(ZeroDivisionError):
+        load_all({k: jobs[k] for k in ("quick", "needs quick")}, after={"needs quick": "quick"})
+
+
+def test_stored_tables_can_be_dropped(spark):
+    path = new_table_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert os.path.isdir(path)
+    assert drop_stored(spark) >= 1 and drop_stored(spark) == 0
+    assert not os.path.exists(path)
+
+
 def test_failed_load_is_raised(spark):
     def fail():
         raise ValueError("no such extract")
@@ -141,6 +166,7 @@ def test_failed_load_is_raised(spark):
 def test_row_counts(spark):
     counted = row_counts({"b": spark.range(2), "a": spark.range(0)})
     assert [tuple(r) for r in counted.collect()] == [("a", 0), ("b", 2)]
+    assert row_counts({"a": spark.range(1)}, "gold.").first().table_name == "gold.a"
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):

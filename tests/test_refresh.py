@@ -22,17 +22,17 @@ EXTRACTS = {
     ],
     "crm_prd_info": [
         "id,key,name,cost,line,start,end",
-        "210,CO-RF-FR-R92B-58,HL Road Frame,,R ,2003-07-01,",
-        "212,AC-HE-HL-U509-R,Helmet,12,S ,2011-07-01,2007-12-28",
-        "213,AC-HE-HL-U509-R,Helmet,14,S ,2012-07-01,2008-12-27",
-        "214,AC-HE-HL-U509-R,Helmet,13,S ,2013-07-01,",
-        "215,CO-PE-PD-M282,Pedal,20,,2013-07-01,",
+        "510,CO-RF-FR-X10-1,HL Road Frame,,R ,2004-05-01,",
+        "512,AC-HE-HL-Q7-B,Helmet,12,S ,2010-03-01,2006-11-03",
+        "513,AC-HE-HL-Q7-B,Helmet,14,S ,2012-03-01,2007-11-03",
+        "514,AC-HE-HL-Q7-B,Helmet,13,S ,2013-03-01,",
+        "515,CO-PE-PD-Z3,Pedal,20,,2013-03-01,",
     ],
     "crm_sales_details": [
         "order,product,customer,ordered,shipped,due,sales,quantity,price",
-        "SO1,HL-U509-R,11000,20130101,20130108,20130113,26,2,13",
-        "SO1,FR-R92B-58,11000,0,20130108,20130113,,1,100",
-        "SO2,HL-U509-R,11001,20130102,20130109,20130114,30,2,-13",
+        "SO1,HL-Q7-B,11000,20130101,20130108,20130113,26,2,13",
+        "SO1,FR-X10-1,11000,0,20130108,20130113,,1,100",
+        "SO2,HL-Q7-B,11001,20130102,20130109,20130114,30,2,-13",
         "SO3,NO-SUCH,99999,5489,20130109,20130231,10,3,",
     ],
     "crm_camp_info": [
@@ -44,10 +44,10 @@ EXTRACTS = {
     ],
     "crm_supp_tkts": [
         "id,customer,product,employee,issue,status,opened,resolved",
-        "T1,11000,HL_U509_R,EMP001,billing,open,06/01/2024,",
-        "T2,999999,PRD-HL-U509-R,EMP301,TECHNICAL,Clsd,2024-01-01,2024-01-11",
+        "T1,11000,HL_Q7_B,EMP001,billing,open,06/01/2024,",
+        "T2,999999,PRD-HL-Q7-B,EMP301,TECHNICAL,Clsd,2024-01-01,2024-01-11",
         "T3,,,,misc,pend,2024-05-01,",
-        "T4,11001, HL-U509-R ,EMP001,Returns,Resolved,2024-01-01,01/06/2024",
+        "T4,11001, HL-Q7-B ,EMP001,Returns,Resolved,2024-01-01,01/06/2024",
     ],
     "erp_cust_az12": [
         "id,born,gender",
@@ -76,18 +76,18 @@ EXTRACTS = {
     ],
     "erp_inv_q4v1": [
         "id,product,warehouse,stock,reorder,day",
-        "I1,214, warehouse a ,-3,5,2024-01-01",
-        "I1,214,Warehouse A,8,5,12/31/2023",
-        "I2,212,wh b,9,5,2024-01-01",
+        "I1,514, warehouse a ,-3,5,2024-01-01",
+        "I1,514,Warehouse A,8,5,12/31/2023",
+        "I2,512,wh b,9,5,2024-01-01",
         "I3,99999,wh b,9,5,2024-01-01",
-        "I4,210,wh b,2,x,2024-01-01",
+        "I4,510,wh b,2,x,2024-01-01",
     ],
     "erp_po_ord44": [
         "number,vendor,product,quantity,cost,day",
-        "P1,V1,214,2.5,$10.50,01/15/2024",
-        "P1,V1,214,9,$9,2024-01-14",
-        "P2,,214,1,N/A,2024-01-15",
-        "P3,V9,212,4,7,2024-02-01",
+        "P1,V1,514,2.5,$10.50,01/15/2024",
+        "P1,V1,514,9,$9,2024-01-14",
+        "P2,,514,1,N/A,2024-01-15",
+        "P3,V9,512,4,7,2024-02-01",
     ],
 }
 
@@ -126,11 +126,11 @@ def test_cleansed_customers(layers):
 
 def test_cleansed_products(layers):
     assert rows(layers[0]["crm_prd_info"].drop(AUDIT_COLUMN, "prd_nm")) == [
-        (210, "CO_RF", "FR-R92B-58", 0, "Road", day("2003-07-01"), None),
-        (212, "AC_HE", "HL-U509-R", 12, "Other Sales", day("2011-07-01"), day("2012-06-30")),
-        (213, "AC_HE", "HL-U509-R", 14, "Other Sales", day("2012-07-01"), day("2013-06-30")),
-        (214, "AC_HE", "HL-U509-R", 13, "Other Sales", day("2013-07-01"), None),
-        (215, "CO_PE", "PD-M282", 20, "n/a", day("2013-07-01"), None),
+        (510, "CO_RF", "FR-X10-1", 0, "Road", day("2004-05-01"), None),
+        (512, "AC_HE", "HL-Q7-B", 12, "Other Sales", day("2010-03-01"), day("2012-02-29")),
+        (513, "AC_HE", "HL-Q7-B", 14, "Other Sales", day("2012-03-01"), day("2013-02-28")),
+        (514, "AC_HE", "HL-Q7-B", 13, "Other Sales", day("2013-03-01"), None),
+        (515, "CO_PE", "PD-Z3", 20, "n/a", day("2013-03-01"), None),
     ]
 
 
@@ -153,10 +153,10 @@ def test_cleansed_campaigns_and_tickets(layers):
         ("C4", "Autumn", "Email", 20.0, day("2022-09-01"), day("2022-09-03"), 0),
     ]
     assert rows(layers[0]["crm_supp_tkts"].drop(AUDIT_COLUMN, "tkt_open_date")) == [
-        ("T1", 11000, "HL-U509-R", "EMP001", "Billing", "Open", None),
-        ("T2", None, "HL-U509-R", None, "Technical", "Closed", day("2024-01-11")),
+        ("T1", 11000, "HL-Q7-B", "EMP001", "Billing", "Open", None),
+        ("T2", None, "HL-Q7-B", None, "Technical", "Closed", day("2024-01-11")),
         ("T3", None, None, None, "Unknown", "Pending", None),
-        ("T4", 11001, "HL-U509-R", "EMP001", "Returns", "Resolved", day("2024-01-06")),
+        ("T4", 11001, "HL-Q7-B", "EMP001", "Returns", "Resolved", day("2024-01-06")),
     ]
 
 
@@ -183,14 +183,14 @@ def test_cleansed_reference_tables(layers):
 
 def test_cleansed_stock_and_purchases(layers):
     assert rows(layers[0]["erp_inv_q4v1"].drop(AUDIT_COLUMN)) == [
-        ("I1", 214, "WAREHOUSE A", 0, 5, 1, day("2024-01-01")),
-        ("I2", 212, "WH B", 9, 5, 0, day("2024-01-01")),
-        ("I4", 210, "WH B", 2, None, 0, day("2024-01-01")),
+        ("I1", 514, "WAREHOUSE A", 0, 5, 1, day("2024-01-01")),
+        ("I2", 512, "WH B", 9, 5, 0, day("2024-01-01")),
+        ("I4", 510, "WH B", 2, None, 0, day("2024-01-01")),
     ]
     assert rows(layers[0]["erp_po_ord44"].drop(AUDIT_COLUMN)) == [
-        ("P1", "V1", 214, 3, 10.5, 31.5, day("2024-01-15"), 0),
-        ("P2", None, 214, 1, None, None, day("2024-01-15"), 1),
-        ("P3", "V9", 212, 4, 7.0, 28.0, day("2024-02-01"), 1),
+        ("P1", "V1", 514, 3, 10.5, 31.5, day("2024-01-15"), 0),
+        ("P2", None, 514, 1, None, None, day("2024-01-15"), 1),
+        ("P3", "V9", 512, 4, 7.0, 28.0, day("2024-02-01"), 1),
     ]
 
 
@@ -202,7 +202,7 @@ def test_dimensions(layers):
         (3, 11002, "n/a", "Female", day("1980-01-01")),
     ]
     assert rows(star["dim_products"], "product_key", "product_id", "category", "cost") == [
-        (1, 210, "Components", 0), (2, 214, "Accessories", 13), (3, 215, None, 20),
+        (1, 510, "Components", 0), (2, 514, "Accessories", 13), (3, 515, None, 20),
     ]
     assert rows(star["dim_employees"], "employee_id", "years_of_service", "seniority_band") == [
         ("EMP001", 0, "Junior"), ("EMP002", None, "Veteran"),
@@ -224,17 +224,17 @@ def test_facts(layers):
         star["fact_support_tickets"],
         "id", "days_to_resolve", "is_overdue", "customer_full_name", "agent_role", "product_key",
     ) == [
-        ("T1", 29, 0, "Jon Yang", "Team Lead", "HL-U509-R"),
-        ("T2", 10, 0, " ", None, "HL-U509-R"),
+        ("T1", 29, 0, "Jon Yang", "Team Lead", "HL-Q7-B"),
+        ("T2", 10, 0, " ", None, "HL-Q7-B"),
         ("T3", 60, 1, " ", None, None),
-        ("T4", 5, 1, "Eugene Huang", "Team Lead", "HL-U509-R"),
+        ("T4", 5, 1, "Eugene Huang", "Team Lead", "HL-Q7-B"),
     ]
     assert rows(
         star["fact_inventory"], "inventory_id", "product_id", "stock_vs_reorder", "estimated_stock_value"
-    ) == [("I1", 214, -5, 0), ("I2", None, 4, 0), ("I4", 210, None, 0)]
+    ) == [("I1", 514, -5, 0), ("I2", None, 4, 0), ("I4", 510, None, 0)]
     assert rows(
         star["fact_purchase_orders"], "po_number", "order_year", "order_month", "vendor_id", "product_id", "total_cost"
-    ) == [("P1", 2024, 1, "V1", 214, 31.5), ("P2", 2024, 1, None, 214, None), ("P3", 2024, 2, None, None, 28.0)]
+    ) == [("P1", 2024, 1, "V1", 514, 31.5), ("P2", 2024, 1, None, 514, None), ("P3", 2024, 2, None, None, 28.0)]
 
 
 def test_suites(layers):

@@ -16,6 +16,11 @@ def safe_int(c: Column) -> Column:
     return F.when(c.rlike(INTEGER_PATTERN), c.try_cast("int"))
 
 
+def safe_long(c: Column) -> Column:
+    """Whole number from text, such as an id, NULL where the text is none or does not fit 64 bits."""
+    return F.when(c.rlike(INTEGER_PATTERN), c.try_cast("bigint"))
+
+
 def safe_double(c: Column) -> Column:
     """Number from text, NULL where the text is not a plain decimal number."""
     return F.when(c.rlike(NUMBER_PATTERN), c.try_cast("double"))
@@ -43,12 +48,12 @@ def parse_money(c: Column) -> Column:
     list of their own, as nothing but a number passes :func:`safe_double`.
     """
     text = F.trim(c)
-    return safe_double(F.when(c.startswith("$"), F.substring(text, 2, 50)).otherwise(text))
+    return safe_double(F.when(c.startswith("$"), text.substr(F.lit(2), F.length(text))).otherwise(text))
 
 
 def null_if_sentinel(c: Column, sentinel: int) -> Column:
     """Whole number from text, NULL for the placeholder value ``sentinel``."""
-    return F.nullif(safe_int(c), F.lit(sentinel))
+    return F.nullif(safe_long(c), F.lit(sentinel))
 
 
 def repair_amount(amount: Column, quantity: Column, price: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tierloom.functions.numbers import safe_int
+from tierloom.functions.numbers import INTEGER_PATTERN
 
 
 def clean_text(c: Column) -> Column:
@@ -63,8 +63,9 @@ def repair_key(c: Column, prefix: str) -> Column:
 def null_if_suffix_above(c: Column, start: int, bound: int) -> Column:
     """Trimmed id, or NULL if blank or if the number from position ``start`` on is above ``bound``."""
     text = blank_to_null(c)
-    above = safe_int(F.substring(text, start, 10)) > bound
-    return F.when(~F.coalesce(above, F.lit(False)), text)
+    suffix = text.substr(F.lit(start), F.length(text))
+    number = F.when(suffix.rlike(INTEGER_PATTERN), suffix.try_cast("double"))  # of any number of digits
+    return F.when(~F.coalesce(number > bound, F.lit(False)), text)
 
 
 def full_name(first: Column, last: Column) -> Column:

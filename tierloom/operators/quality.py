@@ -79,7 +79,9 @@ def not_before(table: str, end: str, start: str, name: str, only_if: str | None
 
 
 def not_future(table: str, column: str, as_of: str, name: str) -> RowRule:
-    return RowRule(table, name, f"{column} > DATE '{as_of}'")
+    """Broken after ``as_of``, a day as text or an SQL expression such as ``current_date()``."""
+    day = as_of if as_of.endswith(")") else f"DATE '{as_of}'"
+    return RowRule(table, name, f"{column} > {day}")
 
 
 def bound(table: str, column: str, operator: str, value, name: str) -> RowRule:

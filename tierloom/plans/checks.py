@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -25,8 +24,9 @@ from tierloom.operators.quality import (
     unique,
 )
 
-# Table prefix that check names of the cleansed layer carry.
+# Prefixes of the layers in names of checks and tables.
 CLEANSED_PREFIX = "silver."
+STAR_PREFIX = "gold."
 # Fixed value: what two computations of a cost may differ by.
 COST_TOLERANCE = 0.01
 
@@ -34,7 +34,8 @@ _STOCK_FLAG = "CASE WHEN {stock} < {level} THEN 1 ELSE 0 END"
 
 
 def _day(as_of) -> str:
-    return str(as_of if as_of is not None else datetime.date.today())
+    """The day of the rules; today is the session's, as it is for the cleansing."""
+    return str(as_of) if as_of is not None else "current_date()"
 
 
 def _nulls(table: str, *columns: str) -> list[RowRule]:

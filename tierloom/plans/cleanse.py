@@ -175,10 +175,11 @@ def clean_vendors(landed: DataFrame) -> DataFrame:
 
 def clean_inventory(landed: DataFrame, products: DataFrame) -> DataFrame:
     """Latest snapshot per inventory id, among those of known products only: a snapshot of an unknown
-    product is gone before the latest one is picked. ``products`` are cleansed product versions."""
+    product is gone before the latest one is picked. ``products`` hold the known ids as ``prd_id``: cleansed
+    product versions or, as cleansing neither adds nor drops any, landed ones."""
     parsed = landed.select(
         "inv_id",
-        numbers.safe_int(col("inv_prd_id")).alias("inv_prd_id"),
+        numbers.safe_long(col("inv_prd_id")).alias("inv_prd_id"),
         text.upper_code(col("inv_wh_loc")).alias("inv_wh_loc"),
         numbers.safe_int(col("inv_stock_on_hand")).alias("inv_stock_on_hand"),
         numbers.safe_int(col("inv_reorder_level")).alias("inv_reorder_level"),
@@ -203,7 +204,7 @@ def clean_purchase_orders(landed: DataFrame, vendors: DataFrame) -> DataFrame:
     parsed = landed.select(
         "po_number",
         text.blank_to_null(col("po_vnd_id")).alias("po_vnd_id"),
-        numbers.safe_int(col("po_prd_id")).alias("po_prd_id"),
+        numbers.safe_long(col("po_prd_id")).alias("po_prd_id"),
         numbers.round_int(col("po_quantity_ordered")).alias("po_quantity_ordered"),
         numbers.parse_money(col("po_unit_cost")).alias("po_unit_cost"),
         dates.parse_date_multi(col("po_order_date")).alias("po_order_date"),

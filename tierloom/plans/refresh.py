@@ -22,7 +22,7 @@ from tierloom.sources.landing import (
 )
 from tierloom.sources.tables import (
     REQUIRED_COLUMNS,
-    Load,
+    Batch,
     assert_required,
     load_all,
     side_by_side,
@@ -36,7 +36,7 @@ _CHECKED_AGAINST = {"erp_inv_q4v1": "crm_prd_info", "erp_po_ord44": "erp_vnd_z90
 
 def land(
     spark: SparkSession, extracts: str, landed: str, tables: Mapping[str, str] | None = None
-) -> list[Load]:
+) -> Batch:
     """Store the extracts under ``extracts`` as typed tables under ``landed``. ``tables`` maps table
     names to files, by default all twelve. Lines that do not fit go to ``<table>_rejected``."""
 
@@ -81,9 +81,9 @@ def _cleansers(read: Callable[[str], DataFrame], clean: Callable[[str], DataFram
 
 def cleanse_all(
     spark: SparkSession, landed: str, cleansed: str, as_of=None, audit_time=None
-) -> list[Load]:
+) -> Batch:
     """Cleanse the tables found under ``landed`` into ``cleansed``, each with its load time. A NULL in
-    a required column fails the load. Tables checked against others come after them."""
+    a required column fails the load. A table that is checked against another one waits for that one only."""
     plans = _cleansers(
         lambda table: spark.read.parquet(f"{landed}/{table}"),
         lambda table: spark.read.parquet(f"{cleansed}/{table}"),
@@ -94,9 +94,7 @@ def cleanse_all(
         gated = assert_required(plans[table](), REQUIRED_COLUMNS.get(table, ()))
         return write_refresh(with_audit(gated, audit_time), f"{cleansed}/{table}")
 
-    first = {t: partial(load, t) for t in plans if t not in _CHECKED_AGAINST}
-    then = {t: partial(load, t) for t in _CHECKED_AGAINST}
-    return load_all(first) + load_all(then)
+    return load_all({t: partial(load, t) for t in plans}, after=_CHECKED_AGAINST)
 
 
 def build_star(cleansed: Mapping[str, DataFrame], as_of=None) -> dict[str, DataFrame]:

@@ -18,8 +18,8 @@ col = F.col
 def top_customers(sales: DataFrame, customers: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` customers with the greatest sales; ties by customer key, which follows customer id.
 
-    ``sales`` must carry keys of this very dimension. The winners are found on keys alone, so what is
-    broadcast to the dimension is ``n`` rows. A customer with a missing name part has no name.
+    ``sales`` must carry keys of this very dimension. The winners are found on keys alone, so what meets
+    the dimension is ``n`` rows. A customer with a missing name part has no name.
     """
     winners = (
         sales.filter(col("customer_key").isNotNull())
@@ -30,7 +30,7 @@ def top_customers(sales: DataFrame, customers: DataFrame, n: int = 10) -> DataFr
     )
     names = customers.select("customer_key", "customer_id", "first_name", "last_name")
     return (
-        names.join(F.broadcast(winners), "customer_key")
+        names.join(winners, "customer_key")
         .select(
             "customer_id",
             F.concat("first_name", F.lit(" "), "last_name").alias("customer_name"),

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_handed_out: list[str] = []
 
 
 @functools.lru_cache(maxsize=None)
@@ -31,5 +32,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_table_path(spark: SparkSession, purpose: str) -> str:
-    """A path in the shared folder that nothing has been written to yet."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing has been written to yet; see :func:`drop_stored`."""
+    path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+def drop_stored(spark: SparkSession) -> int:
+    """Delete what has been stored under new paths by this driver so far; the number of paths.
+
+    For when the results that read them have been written or collected: DataFrames over them cannot run again.
+    """
+    done = 0
+    while _handed_out:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        done += 1
+    return done

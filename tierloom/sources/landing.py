@@ -16,6 +16,7 @@ FILE_ORDER = "_file_order"
 
 _TYPES = {
     "int": T.IntegerType(),
+    "bigint": T.LongType(),
     "string": T.StringType(),
     "date": T.DateType(),
     "timestamp_ntz": T.TimestampNTZType(),
@@ -31,15 +32,15 @@ def _schema(columns: str) -> T.StructType:
 # Columns of the twelve extracts, in file order.
 LANDING_SCHEMAS: dict[str, T.StructType] = {
     "crm_cust_info": _schema(
-        "cst_id int, cst_key string, cst_firstname string, cst_lastname string, "
+        "cst_id bigint, cst_key string, cst_firstname string, cst_lastname string, "
         "cst_marital_status string, cst_gnder string, cst_create_date date"
     ),
     "crm_prd_info": _schema(
-        "prd_id int, prd_key string, prd_nm string, prd_cost int, prd_line string, "
+        "prd_id bigint, prd_key string, prd_nm string, prd_cost int, prd_line string, "
         "prd_start_dt timestamp_ntz, prd_end_dt timestamp_ntz"
     ),
     "crm_sales_details": _schema(
-        "sls_ord_num string, sls_prd_key string, sls_cst_id int, sls_order_dt int, "
+        "sls_ord_num string, sls_prd_key string, sls_cst_id bigint, sls_order_dt int, "
         "sls_ship_dt int, sls_due_dt int, sls_sales int, sls_quantity int, sls_price int"
     ),
     "crm_camp_info": _schema(
@@ -125,15 +126,3 @@ def split_rejected(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     fits = F.col(REJECTED).isNull()
     return rows.filter(fits).drop(REJECTED), rows.filter(~fits)
-
-
-def type_by_position(rows: DataFrame, schema: T.StructType) -> DataFrame:
-    """Text columns taken by position into the names and types of ``schema``; misfits become NULL."""
-    if len(rows.columns) != len(schema):
-        raise ValueError(f"{len(rows.columns)} columns for a schema of {len(schema)}")
-    return rows.select(
-        *(
-            F.col(name).try_cast(field.dataType).alias(field.name)
-            for name, field in zip(rows.columns, schema.fields)
-        )
-    )

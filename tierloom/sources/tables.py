@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial, reduce
 from multiprocessing.pool import ThreadPool
+from threading import Event
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
@@ -40,6 +41,14 @@ class Load:
     seconds: float
 
 
+class Batch(list[Load]):
+    """Loads that ran together, and the seconds from the first one's start to the last one's end."""
+
+    def __init__(self, loads: Sequence[Load], seconds: float):
+        super().__init__(loads)
+        self.seconds = seconds
+
+
 def with_audit(df: DataFrame, as_of: datetime.datetime | None = None) -> DataFrame:
     """Add the load time; ``as_of`` fixes it, otherwise it is the time of the query."""
     stamp = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
@@ -107,29 +116,53 @@ def side_by_side(jobs: Sequence[Callable], parallel: int = 8) -> list:
         return pool.map(inherit(lambda job: job()), jobs, chunksize=1)
 
 
-def load_all(jobs: Mapping[str, Callable[[], int]], parallel: int = 8) -> list[Load]:
-    """Run independent loads, each of which stores one table and returns its row count."""
-
-    def timed(table: str, job: Callable[[], int]) -> Load:
-        began = time.perf_counter()
-        rows = job()
-        return Load(table, rows, time.perf_counter() - began)
+def load_all(
+    jobs: Mapping[str, Callable[[], int]], parallel: int = 8, after: Mapping[str, str] | None = None
+) -> Batch:
+    """Run loads side by side, each of which stores one table and returns its row count.
 
-    return side_by_side([partial(timed, table, job) for table, job in jobs.items()], parallel)
-
-
-def run_report(spark: SparkSession, loads: Sequence[Load]) -> DataFrame:
-    """Table, rows and seconds of each load, and their totals under ``(batch)``."""
+    ``after`` names, for a load, the one whose table it needs; it starts as soon as that one is done, and
+    fails with it.
+    """
+    after = after or {}
+    # those that are waited for come first, so that no thread waits for a load that has none
+    order = sorted(jobs, key=lambda table: table in after)
+    done = {table: Event() for table in jobs}
+    failed: set[str] = set()
+
+    def timed(table: str) -> Load:
+        try:
+            if table in after:
+                done[after[table]].wait()
+                if after[table] in failed:
+                    raise RuntimeError(f"{table} needs {after[table]}, which failed")
+            began = time.perf_counter()
+            rows = jobs[table]()
+            return Load(table, rows, time.perf_counter() - began)
+        except BaseException:
+            failed.add(table)
+            raise
+        finally:
+            done[table].set()
+
+    began = time.perf_counter()
+    loads = side_by_side([partial(timed, table) for table in order], parallel)
+    return Batch(loads, time.perf_counter() - began)
+
+
+def run_report(spark: SparkSession, loads: Batch) -> DataFrame:
+    """Table, rows and seconds of each load; under ``(batch)`` all rows, and how long the whole took. Loads run
+    side by side, so the batch takes less than its loads together."""
     lines = [(load.table, load.rows, load.seconds) for load in loads]
-    lines.append(("(batch)", sum(x.rows for x in loads), sum(x.seconds for x in loads)))
+    lines.append(("(batch)", sum(x.rows for x in loads), loads.seconds))
     return spark.createDataFrame(lines, "table string, rows bigint, seconds double")
 
 
-def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows per table, by table name."""
+def row_counts(tables: Mapping[str, DataFrame], prefix: str = "") -> DataFrame:
+    """Rows per table, by table name; ``prefix`` names the layer."""
     counts = (
         df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count"
+            F.lit(prefix + name).alias("table_name"), "row_count"
         )
         for name, df in tables.items()
     )

@@ -21,7 +21,8 @@ def text(x: str) -> str:
 
 
 def digits(x: str, n: int) -> str:
-    return f"lpad({text(x)}, {n}, '0')"
+    """A number with zeros in front up to ``n`` digits; longer numbers stay whole."""
+    return f"CASE WHEN length({text(x)}) < {n} THEN lpad({text(x)}, {n}, '0') ELSE {text(x)} END"
 
 
 def choice(selector: str, *options: str) -> str:
@@ -61,7 +62,7 @@ def group_of(part: str) -> str:
 
 
 def product_number(group: str) -> str:
-    return f"'HL-U' || {digits(group, 6)}"
+    return f"'HL-U' || ({digits(group, 6)})"
 
 
 def money(x: str) -> str:
@@ -102,8 +103,8 @@ EXTRACTS: dict[str, Extract] = {
     "crm_cust_info": Extract(
         "orders",
         {
-            "cst_id": "CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE CAST(o_custkey AS INT) END",
-            "cst_key": f"'AW' || {digits('o_custkey', 8)}",
+            "cst_id": "CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE CAST(o_custkey AS BIGINT) END",
+            "cst_key": f"'AW' || ({digits('o_custkey', 8)})",
             "cst_firstname": "CASE WHEN o_orderkey % 3 = 0 THEN '  First' || "
             + text("o_custkey % 50")
             + " || ' ' WHEN o_orderkey % 41 = 0 THEN NULL ELSE 'First' || "
@@ -122,7 +123,7 @@ EXTRACTS: dict[str, Extract] = {
     "crm_prd_info": Extract(
         "part",
         {
-            "prd_id": "CAST(p_partkey AS INT)",
+            "prd_id": "CAST(p_partkey AS BIGINT)",
             "prd_key": f"{_MAIN_CATEGORY} || '-' || {_SUB_CATEGORY} || '-' || "
             + product_number(_GROUP),
             "prd_nm": "p_name",
@@ -138,7 +139,7 @@ EXTRACTS: dict[str, Extract] = {
         {
             "sls_ord_num": f"'SO' || {text('l_orderkey')}",
             "sls_prd_key": product_number(group_of("l_partkey")),
-            "sls_cst_id": "CAST(o_custkey AS INT)",
+            "sls_cst_id": "CAST(o_custkey AS BIGINT)",
             "sls_order_dt": f"CAST(CASE WHEN {_LINE} % 40 = 0 THEN 0 WHEN {_LINE} % 41 = 0 "
             f"THEN 201302 WHEN {_LINE} % 43 = 0 THEN 20130231 "
             f"ELSE {date_number('o_orderdate')} END AS INT)",
@@ -199,7 +200,7 @@ EXTRACTS: dict[str, Extract] = {
             "tkt_emp_id": choice(
                 "event_id % 25",
                 *("''", "'EMPX'", "' EMP007 '", "NULL"),
-                f"'EMP' || {digits('event_id % 310', 3)}",
+                f"'EMP' || ({digits('event_id % 310', 3)})",
             ),
             "tkt_issue_cat": spelled(
                 "event_id % 9",
@@ -225,8 +226,9 @@ EXTRACTS: dict[str, Extract] = {
     "erp_cust_az12": Extract(
         "customer",
         {
-            "cid": "CASE WHEN c_custkey % 3 = 0 THEN 'NAS' ELSE '' END || 'AW' || "
-            + digits("c_custkey", 8),
+            "cid": "CASE WHEN c_custkey % 3 = 0 THEN 'NAS' ELSE '' END || 'AW' || ("
+            + digits("c_custkey", 8)
+            + ")",
             "bdate": "CASE WHEN c_custkey % 71 = 0 THEN NULL "
             "ELSE DATE '1930-05-17' + CAST(c_custkey * 401 % 36500 AS INT) END",
             "gen": choice(
@@ -237,7 +239,7 @@ EXTRACTS: dict[str, Extract] = {
     "erp_loc_a101": Extract(
         "customer",
         {
-            "cid": f"'AW-' || {digits('c_custkey', 8)}",
+            "cid": f"'AW-' || ({digits('c_custkey', 8)})",
             "cntry": choice(
                 "c_custkey % 9",
                 *("'DE'", "'US'", "'usa'", "' United States '", "''", "NULL", "'  '", "'de '"),
@@ -264,7 +266,7 @@ EXTRACTS: dict[str, Extract] = {
         {
             "inv_id": f"'INV-' || {text('l_partkey')} || '-' || {text('l_suppkey % 4')}",
             "inv_prd_id": choice(
-                f"{_LINE} % 37", "'x'", "NULL", text("l_partkey + 100000000"), text("l_partkey")
+                f"{_LINE} % 37", "'x'", "NULL", text("-l_partkey"), text("l_partkey")
             ),
             "inv_wh_loc": spelled(
                 f"{_LINE} % 5", "warehouse a", "Warehouse A ", "WAREHOUSE B", " warehouse b", "WH-C"
@@ -283,12 +285,13 @@ EXTRACTS: dict[str, Extract] = {
     "erp_vnd_z90": Extract(
         "supplier",
         {
-            "vnd_id": "'VND-' || "
+            "vnd_id": "'VND-' || ("
             + digits(
                 "CASE WHEN s_suppkey % 10 > 7 THEN s_suppkey - s_suppkey % 10 + 7 "
                 "ELSE s_suppkey END",
                 6,
-            ),
+            )
+            + ")",
             "vnd_name": choice("s_suppkey % 16", "NULL", "'  '", "' ' || s_name || ' '"),
             "vnd_country": "CASE WHEN s_suppkey % 61 = 0 THEN NULL ELSE "
             + spelled(
@@ -305,8 +308,8 @@ EXTRACTS: dict[str, Extract] = {
             "po_number": f"'PO-' || {text('l_orderkey')} || '-' || {text('l_linenumber')}",
             "po_vnd_id": choice(
                 f"{_LINE} % 21",
-                *("''", "NULL", "'VND-999999'", f"' VND-' || {digits('l_suppkey', 6)}"),
-                f"'VND-' || {digits('l_suppkey', 6)}",
+                *("''", "NULL", "'VND-NONE'", f"' VND-' || ({digits('l_suppkey', 6)})"),
+                f"'VND-' || ({digits('l_suppkey', 6)})",
             ),
             "po_prd_id": text("l_partkey"),
             "po_quantity_ordered": choice(
@@ -324,7 +327,7 @@ EXTRACTS: dict[str, Extract] = {
     "erp_hr_hx19": Extract(
         "customer",
         {
-            "emp_id": f"'EMP' || {digits('c_custkey % 297', 3)}",
+            "emp_id": f"'EMP' || ({digits('c_custkey % 297', 3)})",
             "emp_first_name": choice(
                 "c_custkey % 23", "NULL", "'  '", "' Name' || " + text("c_custkey % 40")
             ),
@@ -337,7 +340,7 @@ EXTRACTS: dict[str, Extract] = {
             )
             + " END",
             "emp_branch_id": choice(
-                "c_custkey % 17", "''", "NULL", f"' BR' || {digits('c_nationkey', 3)}"
+                "c_custkey % 17", "''", "NULL", f"' BR' || ({digits('c_nationkey', 3)})"
             ),
             "emp_hire_date": mixed_date("hired", "c_custkey"),
         },

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from functools import partial
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierloom.plans import checks, cleanse, reports, star
-from tierloom.plans.refresh import build_star
+from tierloom.plans.refresh import build_star, cleanse_all
 from tierloom.session import new_table_path
 from tierloom.sources.tables import load_all, row_counts, side_by_side, write_refresh
 from workload.extracts import landed
@@ -17,6 +18,9 @@ from workload.oracle import suite_sql, with_tables
 from workload.registry import AS_OF, query
 
 
+AUDIT_TIME = datetime.datetime(2024, 6, 30)
+
+
 class Layers:
     """The layers over one folder of test tables.
 
@@ -40,6 +44,13 @@ class Layers:
         """Use these tables from now on, such as stored ones for those they were computed from."""
         self._built.update(tables)
 
+    def shared(self, name: str) -> Layers:
+        """The same layers with a table stored that is used more than once."""
+        path = new_table_path(self._spark, name)
+        write_refresh(self[name], path)
+        self.replace({name: self._spark.read.parquet(path)})
+        return self
+
     def numbered(self) -> Layers:
         """The same layers with both numbered dimensions built, side by side."""
         side_by_side([partial(self.__getitem__, n) for n in ("dim_customers", "dim_products")])
@@ -47,18 +58,12 @@ class Layers:
 
 
 def refreshed(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The cleansed tables, stored. For queries that look at them several times over; the two tables
-    that others are checked against come first."""
-    layers, path = Layers(spark, folder), new_table_path(spark, "cleansed")
-
-    def store(name: str) -> int:
-        return write_refresh(layers[name], f"{path}/{name}")
+    """The cleansed tables as the refresh stores them, with its gates and load time, from landed tables."""
+    layers, path = Layers(spark, folder), new_table_path(spark, "layers")
 
-    first = ["crm_prd_info", "erp_vnd_z90"]
-    for names in (first, [name for name in CLEANSED if name not in first]):
-        load_all({name: partial(store, name) for name in names})
-        layers.replace({name: spark.read.parquet(f"{path}/{name}") for name in names})
-    return {name: layers[name] for name in CLEANSED}
+    load_all({name: partial(lambda n: write_refresh(layers.landed(n), f"{path}/landed/{n}"), name) for name in CLEANSED})
+    cleanse_all(spark, f"{path}/landed", f"{path}/cleansed", AS_OF, AUDIT_TIME)
+    return {name: spark.read.parquet(f"{path}/cleansed/{name}") for name in CLEANSED}
 
 
 _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
@@ -73,7 +78,7 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "erp_hr_hx19": lambda t: cleanse.clean_employees(t.landed("erp_hr_hx19")),
     "erp_vnd_z90": lambda t: cleanse.clean_vendors(t.landed("erp_vnd_z90")),
     "erp_inv_q4v1": lambda t: cleanse.clean_inventory(
-        t.landed("erp_inv_q4v1"), t["crm_prd_info"]
+        t.landed("erp_inv_q4v1"), t.landed("crm_prd_info")
     ),
     "erp_po_ord44": lambda t: cleanse.clean_purchase_orders(
         t.landed("erp_po_ord44"), t["erp_vnd_z90"]
@@ -81,6 +86,10 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "conformed_customers": lambda t: star.conform_customers(
         t["crm_cust_info"], t["erp_cust_az12"], t["erp_loc_a101"]
     ),
+    # products as facts see them that carry no surrogate key
+    "categorized_products": lambda t: star.categorize_products(
+        t["crm_prd_info"], t["erp_px_cat_g1v2"]
+    ),
     "dim_customers": lambda t: star.dim_customers(
         t["crm_cust_info"], t["erp_cust_az12"], t["erp_loc_a101"]
     ),
@@ -92,11 +101,11 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
         t["crm_sales_details"], t["dim_products"], t["dim_customers"]
     ),
     "fact_support_tickets": lambda t: star.fact_support_tickets(
-        t["crm_supp_tkts"], t["dim_customers"], t["dim_employees"], t["dim_products"], AS_OF
+        t["crm_supp_tkts"], t["conformed_customers"], t["dim_employees"], t["categorized_products"], AS_OF
     ),
-    "fact_inventory": lambda t: star.fact_inventory(t["erp_inv_q4v1"], t["dim_products"]),
+    "fact_inventory": lambda t: star.fact_inventory(t["erp_inv_q4v1"], t["categorized_products"]),
     "fact_purchase_orders": lambda t: star.fact_purchase_orders(
-        t["erp_po_ord44"], t["dim_vendors"], t["dim_products"]
+        t["erp_po_ord44"], t["dim_vendors"], t["categorized_products"]
     ),
 }
 
@@ -130,7 +139,9 @@ _TABLE_QUERIES = {
 
 
 def _whole_table(name: str):
-    if name in ("fact_sales", "fact_support_tickets"):
+    if name == "fact_purchase_orders":
+        return lambda spark, folder: Layers(spark, folder).shared("erp_vnd_z90")[name]
+    if name == "fact_sales":
         return lambda spark, folder: Layers(spark, folder).numbered()[name]
     return lambda spark, folder: Layers(spark, folder)[name]
 
@@ -153,14 +164,16 @@ def dq_suite_star(spark, folder):
     "row_counts",
     with_tables(
         "\nUNION ALL ".join(
-            f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}"
-            for name in [*CLEANSED, *STAR]
+            f"SELECT '{prefix}{name}' AS table_name, count(*) AS row_count FROM {name}"
+            for prefix, names in ((checks.CLEANSED_PREFIX, CLEANSED), (checks.STAR_PREFIX, STAR))
+            for name in names
         )
     ),
 )
 def all_row_counts(spark, folder):
     cleansed = refreshed(spark, folder)
-    return row_counts(cleansed | build_star(cleansed, AS_OF))
+    counts = row_counts(cleansed, checks.CLEANSED_PREFIX)
+    return counts.unionByName(row_counts(build_star(cleansed, AS_OF), checks.STAR_PREFIX))
 
 
 def _rate(column: str) -> str:
@@ -171,24 +184,25 @@ def _rate(column: str) -> str:
     "join_match_rates",
     with_tables(f"""
 SELECT 'sales products' AS reference, count(*) AS total, count(product_key) AS matched,
-       {_rate('product_key')}::DOUBLE AS match_pct FROM fact_sales
-UNION ALL SELECT 'sales customers', count(*), count(customer_key), {_rate('customer_key')}
+       {_rate('product_key')}::DOUBLE AS match_pct, CAST(NULL AS BIGINT) AS beside FROM fact_sales
+UNION ALL SELECT 'sales customers', count(*), count(customer_key), {_rate('customer_key')}, NULL
 FROM fact_sales
-UNION ALL SELECT 'ticket customers', count(*), count(customer_id), {_rate('customer_id')}
+UNION ALL SELECT 'ticket customers', count(*), count(customer_id), {_rate('customer_id')}, NULL
 FROM fact_support_tickets
-UNION ALL SELECT 'ticket employees', count(*), count(employee_id), {_rate('employee_id')}
+UNION ALL SELECT 'ticket employees', count(*), count(employee_id), {_rate('employee_id')}, NULL
 FROM fact_support_tickets
-UNION ALL SELECT 'ticket products', count(*), count(product_key), {_rate('product_key')}
+UNION ALL SELECT 'ticket products', count(*), count(product_key), {_rate('product_key')}, NULL
 FROM fact_support_tickets
-UNION ALL SELECT 'purchase order vendors', count(*), count(vendor_id), {_rate('vendor_id')}
+UNION ALL SELECT 'purchase order vendors', count(*), count(vendor_id), {_rate('vendor_id')},
+       count(*) FILTER (WHERE flag_missing_vendor = 1) FROM fact_purchase_orders
+UNION ALL SELECT 'purchase order products', count(*), count(product_id), {_rate('product_id')}, NULL
 FROM fact_purchase_orders
-UNION ALL SELECT 'purchase order products', count(*), count(product_id), {_rate('product_id')}
-FROM fact_purchase_orders
-UNION ALL SELECT 'inventory products', count(*), count(product_id), {_rate('product_id')}
-FROM fact_inventory"""),
+UNION ALL SELECT 'inventory products', count(*), count(product_id), {_rate('product_id')},
+       count(*) FILTER (WHERE product_id IS NULL) FROM fact_inventory"""),
 )
 def all_match_rates(spark, folder):
-    """The rate reports of the four facts, one line per reference."""
+    """The rate reports of the four facts, one line per reference. ``beside`` is what two of them report besides: orders
+    flagged for a missing vendor, and snapshots without a product."""
     layers = build_star(refreshed(spark, folder), AS_OF)
     lines = {
         "sales": (
@@ -208,6 +222,9 @@ def all_match_rates(spark, folder):
             ["product"],
         ),
     }
+    beside = {
+        ("purchase order", "vendor"): "flagged_missing_vendor", ("inventory", "product"): "unmatched_products"
+    }
     reports_as_lines = [
         rates.select(
             F.inline(
@@ -218,6 +235,9 @@ def all_match_rates(spark, folder):
                             F.col(total).alias("total"),
                             F.col(f"matched_{noun}s").alias("matched"),
                             F.col(f"{noun}_match_pct").cast("double").alias("match_pct"),
+                            F.col(beside[fact, noun]).alias("beside")
+                            if (fact, noun) in beside
+                            else F.lit(None).cast("bigint").alias("beside"),
                         )
                         for noun in nouns
                     )
@@ -257,7 +277,7 @@ GROUP BY employee_full_name, job_title
 ORDER BY avg_days_to_resolve NULLS FIRST, employee_full_name, job_title"""),
 )
 def bi_agent_performance(spark, folder):
-    layers = Layers(spark, folder).numbered()
+    layers = Layers(spark, folder)
     result = reports.agent_performance(layers["fact_support_tickets"], layers["dim_employees"])
     return result.withColumn("avg_days_to_resolve", F.round("avg_days_to_resolve", 6))
 
@@ -282,7 +302,7 @@ FROM fact_purchase_orders AS p JOIN dim_vendors AS v ON p.vendor_id = v.vendor_i
 GROUP BY ALL ORDER BY total_spend DESC NULLS LAST, v.vendor_name, v.vendor_country, v.vendor_region"""),
 )
 def bi_vendor_spend(spark, folder):
-    layers = Layers(spark, folder)
+    layers = Layers(spark, folder).shared("erp_vnd_z90")
     result = reports.vendor_spend(layers["fact_purchase_orders"], layers["dim_vendors"])
     return result.withColumns(
         {c: F.round(c, 2) for c in ("total_spend", "avg_unit_cost")}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +16,10 @@ from tierloom.operators.history import active_version, validity_intervals
 from tierloom.operators.keys import surrogate_key
 from tierloom.operators.references import exclude_orphans, flag_missing_ref
 from tierloom.session import new_table_path
-from tierloom.sources.landing import LANDING_SCHEMAS, type_by_position
-from tierloom.sources.tables import load_all, not_null_gate, run_report, with_audit, write_refresh
+from tierloom.sources.landing import LANDING_SCHEMAS, REJECTED, read_landing, split_rejected
+from tierloom.sources.tables import (
+    AUDIT_COLUMN, load_all, not_null_gate, run_report, with_audit, write_refresh,
+)
 from workload.extracts import digits, landed, mixed_date, money, product_number, spelled
 from workload.extracts import text as as_text
 from workload.oracle import (
@@ -26,6 +28,7 @@ from workload.oracle import (
     sql_double,
     sql_int,
     sql_label,
+    sql_long,
     sql_money,
     sql_one_per,
     sql_text_or,
@@ -100,7 +103,7 @@ def full_name(spark, folder):
     ).select("c_custkey", text.full_name(col("first"), col("last")).alias("full_name"))
 
 
-PREFIXED_ID = f"CASE WHEN c_custkey % 3 = 0 THEN 'NAS' ELSE '' END || 'AW' || {digits('c_custkey', 8)}"
+PREFIXED_ID = f"CASE WHEN c_custkey % 3 = 0 THEN 'NAS' ELSE '' END || 'AW' || ({digits('c_custkey', 8)})"
 
 
 @query(
@@ -137,11 +140,11 @@ def split_composite_key(spark, folder):
 
 
 CITED_KEY = (
-    "CASE l_linenumber WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN 'PRD-HL_U' || "
+    "CASE l_linenumber WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN 'PRD-HL_U' || ("
     + digits("l_partkey", 6)
-    + " WHEN 4 THEN ' HL_U' || "
+    + ") WHEN 4 THEN ' HL_U' || ("
     + digits("l_partkey", 6)
-    + " || ' ' WHEN 5 THEN ' PRD-' || "
+    + ") || ' ' WHEN 5 THEN ' PRD-' || "
     + product_number("l_partkey")
     + " WHEN 6 THEN 'PRD-' || "
     + product_number("l_partkey")
@@ -153,9 +156,8 @@ CITED_KEY = (
 
 @query(
     "repair_key",
-    "SELECT l_orderkey, l_linenumber, CASE WHEN length(trim(raw)) = 0 THEN NULL "
-    "WHEN raw LIKE 'PRD-%' THEN substr(trim(raw), 5) "
-    "WHEN contains(raw, '_') THEN replace(trim(raw), '_', '-') ELSE trim(raw) END AS prd_key "
+    "SELECT l_orderkey, l_linenumber, nullif(coalesce(regexp_extract(raw, '^PRD-(.*?) *$', ['rest']).rest, '') "
+    "|| CASE WHEN starts_with(raw, 'PRD-') THEN '' ELSE translate(trim(raw), '_', '-') END, '') AS prd_key "
     f"FROM (SELECT *, {CITED_KEY} FROM lineitem)",
 )
 def repair_key(spark, folder):
@@ -168,7 +170,7 @@ def repair_key(spark, folder):
 
 EMPLOYEE_ID = (
     "CASE WHEN event_id % 19 = 0 THEN '' WHEN event_id % 23 = 0 THEN 'EMPX' "
-    f"ELSE ' EMP' || {digits('event_id % 400', 3)} END AS raw"
+    f"ELSE ' EMP' || ({digits('event_id % 400', 3)}) END AS raw"
 )
 
 
@@ -387,8 +389,8 @@ def date_parts(spark, folder):
 
 @query(
     "seniority_band",
-    "SELECT o_orderkey, years, CASE WHEN years < 2 THEN 'Junior' WHEN years < 5 THEN 'Mid-Level' "
-    "WHEN years < 10 THEN 'Senior' ELSE 'Veteran' END AS band FROM (SELECT o_orderkey, CAST("
+    "SELECT o_orderkey, years, "
+    f"{list(fixed.SENIORITY_LABELS)}[1 + len(list_filter({list(fixed.SENIORITY_CUTS)}, lambda c: coalesce(years, 999) >= c))] AS band FROM (SELECT o_orderkey, CAST("
     f"date_diff('year', CASE WHEN o_orderkey % 13 > 0 THEN o_orderdate END, DATE '{TODAY}') AS INTEGER) "
     "AS years FROM orders)",
 )
@@ -410,7 +412,7 @@ def seniority_band(spark, folder):
 @query(
     "overdue_flag",
     "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' AND "
-    f"date_diff('day', o_orderdate, DATE '{TODAY}') > 30 THEN 1 ELSE 0 END AS is_overdue FROM orders",
+    f"date_diff('day', o_orderdate, DATE '{TODAY}') > {fixed.OVERDUE_AFTER_DAYS} THEN 1 ELSE 0 END AS is_overdue FROM orders",
 )
 def overdue_flag(spark, folder):
     return table(spark, folder, "orders").select(
@@ -535,7 +537,7 @@ USER_TEXT = (
 
 @query(
     "null_sentinel",
-    f"SELECT event_id, nullif({sql_int('raw')}, 999999) AS user_id "
+    f"SELECT event_id, nullif({sql_long('raw')}, 999999) AS user_id "
     f"FROM (SELECT event_id, {USER_TEXT} FROM events)",
 )
 def null_sentinel(spark, folder):
@@ -779,19 +781,22 @@ for _name in RULES:
     query(_name, rule_sql(_name))(partial(checked_lines, _name))
 
 
-PROFILED = ["cmp_channel", "cmp_budget", "cmp_start_date", "cmp_name"]
 _PROFILE_SQL = " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count(v) AS null_count, "
+    f"SELECT '{extract}' AS extract, '{c}' AS column_name, count(*) AS row_count, count(*) - count(v) AS null_count, "
     "count(*) FILTER (WHERE trim(v) = '') AS blank_count, count(DISTINCT v) AS distinct_count, "
-    f"count(v) - count(DISTINCT v) AS repeated_count FROM (SELECT CAST({c} AS VARCHAR) AS v FROM landed_crm_camp_info)"
-    for c in PROFILED
+    f"count(v) - count(DISTINCT v) AS repeated_count FROM (SELECT CAST({c} AS VARCHAR) AS v FROM landed_{extract})"
+    for extract, schema in LANDING_SCHEMAS.items() for c in schema.names
 )
 
 
 @query("column_profile", with_tables(_PROFILE_SQL))
-def profile_of_campaigns(spark, folder):
-    campaigns = landed(spark, folder, "crm_camp_info")
-    return quality.column_profile(campaigns, PROFILED)
+def profile_of_extracts(spark, folder):
+    """Every column of every extract."""
+    profiles = [
+        quality.column_profile(landed(spark, folder, extract), schema.names).select(F.lit(extract).alias("extract"), "*")
+        for extract, schema in LANDING_SCHEMAS.items()
+    ]
+    return reduce(DataFrame.unionByName, profiles)
 
 
 @query(
@@ -800,13 +805,13 @@ def profile_of_campaigns(spark, folder):
         " UNION ALL ".join(
             f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS row_count "
             f"FROM landed_crm_supp_tkts GROUP BY {c}"
-            for c in ("tkt_status", "tkt_issue_cat", "tkt_cst_id")
+            for c in LANDING_SCHEMAS["crm_supp_tkts"].names
         )
     ),
 )
 def values_of_tickets(spark, folder):
     tickets = landed(spark, folder, "crm_supp_tkts")
-    return quality.column_values(tickets, ["tkt_status", "tkt_issue_cat", "tkt_cst_id"])
+    return quality.column_values(tickets, tickets.columns)
 
 
 # --- landing and storing -----------------------------------------------------------------------
@@ -814,59 +819,106 @@ def values_of_tickets(spark, folder):
 
 @query(
     "landing_typed",
-    "SELECT CAST(o_orderkey AS INTEGER) AS sls_cst_id, "
-    "TRY_CAST(CASE WHEN o_orderkey % 5 = 0 THEN 'x' ELSE CAST(o_custkey AS VARCHAR) END AS INTEGER) "
-    "AS sls_order_dt, o_orderstatus AS sls_ord_num FROM orders",
+    with_tables(
+        "SELECT prd_id, prd_key, nullif(prd_nm, '') AS prd_nm, prd_cost, nullif(prd_line, '') AS prd_line, "
+        "CAST(prd_start_dt AS TIMESTAMP) AS prd_start_dt, CAST(prd_end_dt AS TIMESTAMP) AS prd_end_dt FROM landed_crm_prd_info"
+    ),
 )
 def landing_typed(spark, folder):
-    """Text columns under other names, taken by position into typed ones."""
-    raw = dirty(
-        spark, folder, "orders", "o_orderstatus AS a",
-        f"{as_text('o_orderkey')} AS b",
-        f"CASE WHEN o_orderkey % 5 = 0 THEN 'x' ELSE {as_text('o_custkey')} END AS c",
+    """The products as a delimited file with other column names and CR LF, read by position: whole numbers, text,
+    timestamps and empty fields."""
+    products = landed(spark, folder, "crm_prd_info")
+    fields = [F.coalesce(col(c).cast("string"), F.lit("")) for c in products.columns]
+    path = new_table_path(spark, "extract")
+    lines = products.select(F.concat_ws(",", *fields).alias("line"))
+    _with_header(lines, len(fields)).write.option("lineSep", "\r\n").text(path)
+    return split_rejected(read_landing(spark, path, LANDING_SCHEMAS["crm_prd_info"]))[0]
+
+
+def _with_header(lines: DataFrame, width: int) -> DataFrame:
+    """Each partition becomes a file, and each file begins with a header."""
+    header = ",".join(f"column {i}" for i in range(width))
+    marked = lines.select(F.monotonically_increasing_id().alias("place"), "line")
+    first = F.col("place").bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    return marked.select(
+        F.explode(F.when(first, F.array(F.lit(header), F.col("line"))).otherwise(F.array("line"))).alias("line")
     )
+
+
+_ORDER_LINE = (
+    f"o_orderstatus || ',' || {as_text('o_custkey')} || ',' || "
+    f"CASE o_orderkey % 5 WHEN 0 THEN 'x' WHEN 1 THEN '' ELSE {as_text('o_orderkey')} END "
+    f"|| CASE WHEN o_orderkey % 7 = 0 THEN ',more' ELSE '' END"
+)
+_ORDER_BROKEN = "o_orderkey % 5 = 0 OR o_orderkey % 7 = 0"
+
+
+@query(
+    "landing_rejected",
+    f"SELECT CASE WHEN {_ORDER_BROKEN} THEN {_ORDER_LINE} END AS rejected, "
+    f"CASE WHEN NOT ({_ORDER_BROKEN}) THEN o_orderstatus END AS sls_ord_num, "
+    f"CASE WHEN NOT ({_ORDER_BROKEN}) THEN CAST(o_custkey AS BIGINT) END AS sls_cst_id, "
+    f"CASE WHEN NOT ({_ORDER_BROKEN}) AND o_orderkey % 5 > 1 THEN CAST(o_orderkey AS INTEGER) END AS sls_order_dt FROM orders",
+)
+def landing_rejected(spark, folder):
+    """Lines that do not fit are put aside as they are; the others are typed."""
     schema = LANDING_SCHEMAS["crm_sales_details"]
     chosen = type(schema)([schema["sls_ord_num"], schema["sls_cst_id"], schema["sls_order_dt"]])
-    return type_by_position(raw, chosen)
+    path = new_table_path(spark, "extract")
+    _with_header(dirty(spark, folder, "orders", f"{_ORDER_LINE} AS line"), 3).write.text(path)
+    landed_path = new_table_path(spark, "landed")
+    write_refresh(read_landing(spark, path, chosen), landed_path)
+    good, bad = split_rejected(spark.read.parquet(landed_path))
+    return good.select(F.lit(None).cast("string").alias("rejected"), "*").unionByName(
+        bad.select(col(REJECTED).alias("rejected"), *(F.lit(None).cast(f.dataType).alias(f.name) for f in chosen))
+    )
 
 
 @query(
     "refresh_idempotent",
-    "SELECT o_orderpriority, count(*) AS orders FROM orders GROUP BY o_orderpriority",
+    "SELECT o_orderkey, o_orderpriority, TIMESTAMP '2024-06-30 00:00:00' AS dwh_create_date FROM orders",
 )
 def refresh_idempotent(spark, folder):
-    """A table that is loaded twice and holds everything once."""
+    """A table that is loaded twice and holds everything once, with its load time."""
     path = new_table_path(spark, "refresh")
     orders = table(spark, folder, "orders")
     for _ in range(2):
         write_refresh(
-            with_audit(orders, datetime.datetime(2024, 6, 30)), path, ["o_orderkey", "o_orderpriority"]
+            with_audit(orders, datetime.datetime(2024, 6, 30)), path,
+            ["o_orderkey", "o_orderpriority", AUDIT_COLUMN],
         )
-    return spark.read.parquet(path).groupBy("o_orderpriority").agg(F.count("*").alias("orders"))
+    return spark.read.parquet(path).withColumn(AUDIT_COLUMN, col(AUDIT_COLUMN).cast("timestamp_ntz"))
 
 
-@query("load_report")
+@query(
+    "load_report",
+    "SELECT 'orders' AS table_name, count(*) AS row_count, TRUE AS timed, TRUE AS within_batch FROM orders "
+    "UNION ALL SELECT 'lineitem', count(*), TRUE, TRUE FROM lineitem UNION ALL "
+    "SELECT '(batch)', (SELECT count(*) FROM orders) + (SELECT count(*) FROM lineitem), TRUE, TRUE",
+)
 def load_report(spark, folder):
-    """Rows and seconds of two loads; seconds differ from run to run, so there is no SQL for it."""
+    """Rows of two loads; seconds differ from run to run, so what is said of them is that they were taken, and that no
+    load took longer than the batch."""
     jobs = {
         name: partial(write_refresh, table(spark, folder, name), new_table_path(spark, name))
         for name in ("orders", "lineitem")
     }
-    return run_report(spark, load_all(jobs))
+    report = run_report(spark, load_all(jobs))
+    longest = report.where("table = '(batch)'").select(F.col("seconds").alias("whole"))
+    return report.join(longest).select(
+        col("table").alias("table_name"), col("rows").alias("row_count"), (col("seconds") > 0).alias("timed"),
+        (col("seconds") <= col("whole")).alias("within_batch"),
+    )
 
 
 @query(
     "not_null_gate",
     with_tables(
-        "SELECT CASE WHEN cst_id IS NULL THEN 'held back' ELSE 'passed' END AS outcome, "
-        "count(*) AS n FROM landed_crm_cust_info GROUP BY outcome"
+        "SELECT CASE WHEN cst_id IS NULL THEN 'held back' ELSE 'passed' END AS outcome, * FROM landed_crm_cust_info"
     ),
 )
 def gated_customers(spark, folder):
     passed, held_back = not_null_gate(landed(spark, folder, "crm_cust_info"), ["cst_id"])
-    return (
-        passed.select(F.lit("passed").alias("outcome"))
-        .unionByName(held_back.select(F.lit("held back").alias("outcome")))
-        .groupBy("outcome")
-        .agg(F.count("*").alias("n"))
+    return passed.select(F.lit("passed").alias("outcome"), "*").unionByName(
+        held_back.select(F.lit("held back").alias("outcome"), "*")
     )

@@ -37,6 +37,15 @@ def sql_int(x: str) -> str:
     )
 
 
+def sql_long(x: str) -> str:
+    return f"CASE WHEN regexp_full_match(trim({x}), '[+-]?\\d+') THEN TRY_CAST(trim({x}) AS BIGINT) END"
+
+
+def sql_whole(x: str) -> str:
+    """A whole number of any length, as the nearest double."""
+    return f"CASE WHEN regexp_full_match(trim({x}), '[+-]?\\d+') THEN TRY_CAST(trim({x}) AS DOUBLE) END"
+
+
 def sql_double(x: str) -> str:
     number = "[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?"
     return f"CASE WHEN regexp_full_match(trim({x}), '{number}') THEN TRY_CAST(trim({x}) AS DOUBLE) END"
@@ -113,12 +122,11 @@ FROM (SELECT cmp_id, trim(cmp_name) AS cmp_name,
       FROM landed_crm_camp_info)"""
 
 _TABLES["crm_supp_tkts"] = f"""
-SELECT tkt_id, nullif({sql_int('tkt_cst_id')}, 999999) AS tkt_cst_id,
-       CASE WHEN trim(tkt_prd_key) = '' THEN NULL
-            WHEN starts_with(tkt_prd_key, 'PRD-') THEN (trim(tkt_prd_key))[5:]
-            ELSE replace(trim(tkt_prd_key), '_', '-') END AS tkt_prd_key,
-       CASE WHEN trim(tkt_emp_id) = '' OR {sql_int('(trim(tkt_emp_id))[4:13]')} > 300 THEN NULL
-            ELSE trim(tkt_emp_id) END AS tkt_emp_id,
+SELECT tkt_id, nullif({sql_long('tkt_cst_id')}, 999999) AS tkt_cst_id,
+       nullif(trim(regexp_replace(CASE WHEN starts_with(tkt_prd_key, 'PRD-') THEN tkt_prd_key
+                                       ELSE translate(tkt_prd_key, '_', '-') END, '^PRD-', '')), '') AS tkt_prd_key,
+       CASE WHEN coalesce({sql_whole('(trim(tkt_emp_id))[4:]')} <= {fixed.LAST_EMPLOYEE_NUMBER}, TRUE)
+            THEN nullif(trim(tkt_emp_id), '') END AS tkt_emp_id,
        {sql_label('tkt_issue_cat', fixed.ISSUE_CATEGORY, "'Unknown'")} AS tkt_issue_cat,
        {sql_label('tkt_status', fixed.TICKET_STATUS, "'Unknown'")} AS tkt_status,
        {sql_date('tkt_open_date')} AS tkt_open_date,
@@ -160,7 +168,7 @@ _TABLES["erp_inv_q4v1"] = f"""
 SELECT inv_id, inv_prd_id, inv_wh_loc, inv_stock_on_hand, inv_reorder_level,
        CAST(coalesce(inv_stock_on_hand < inv_reorder_level, FALSE) AS INTEGER) AS below_reorder,
        inv_snap_date
-FROM (SELECT inv_id, {sql_int('inv_prd_id')} AS inv_prd_id, upper(trim(inv_wh_loc)) AS inv_wh_loc,
+FROM (SELECT inv_id, {sql_long('inv_prd_id')} AS inv_prd_id, upper(trim(inv_wh_loc)) AS inv_wh_loc,
              CASE WHEN left(trim(inv_stock_on_hand), 1) = '-' THEN 0
                   ELSE {sql_int('inv_stock_on_hand')} END AS inv_stock_on_hand,
              {sql_int('inv_reorder_level')} AS inv_reorder_level,
@@ -176,7 +184,7 @@ SELECT po_number, po_vnd_id, po_prd_id, po_quantity_ordered, po_unit_cost,
        CAST(po_vnd_id IS NULL OR NOT EXISTS (
            SELECT 1 FROM erp_vnd_z90 AS v WHERE v.vnd_id = p.po_vnd_id) AS INTEGER)
            AS flag_missing_vendor
-FROM (SELECT po_number, nullif(trim(po_vnd_id), '') AS po_vnd_id, {sql_int('po_prd_id')} AS po_prd_id,
+FROM (SELECT po_number, nullif(trim(po_vnd_id), '') AS po_vnd_id, {sql_long('po_prd_id')} AS po_prd_id,
              CAST(round({sql_double('po_quantity_ordered')}) AS INTEGER) AS po_quantity_ordered,
              {sql_money('po_unit_cost')} AS po_unit_cost,
              {sql_date('po_order_date')} AS po_order_date
@@ -204,8 +212,8 @@ FROM crm_prd_info AS p LEFT JOIN erp_px_cat_g1v2 AS c ON cat_id = c.id
 WHERE prd_end_dt IS NULL"""
 
 _TABLES["dim_employees"] = f"""
-SELECT *, CASE WHEN years_of_service < 2 THEN 'Junior' WHEN years_of_service < 5 THEN 'Mid-Level'
-               WHEN years_of_service < 10 THEN 'Senior' ELSE 'Veteran' END AS seniority_band
+SELECT *, {list(fixed.SENIORITY_LABELS)}[1 + len(list_filter({list(fixed.SENIORITY_CUTS)},
+               lambda c: coalesce(years_of_service, 999) >= c))] AS seniority_band
 FROM (SELECT emp_id AS employee_id, emp_first_name AS employee_first_name,
              emp_last_name AS employee_last_name, emp_full_name AS employee_full_name,
              emp_role AS job_title, emp_branch_id AS branch_id, emp_hire_date AS hire_date,
@@ -234,7 +242,7 @@ LEFT JOIN dim_customers ON sls_cst_id = customer_id"""
 _TABLES["fact_support_tickets"] = f"""
 SELECT tkt_id AS id, tkt_open_date AS open_date, tkt_resolution_date AS resolution_date,
        CAST(coalesce(tkt_resolution_date, {TODAY}) - tkt_open_date AS INTEGER) AS days_to_resolve,
-       CAST(coalesce(tkt_status <> 'Closed' AND {TODAY} - tkt_open_date > 30, FALSE) AS INTEGER)
+       CAST(coalesce(tkt_status <> 'Closed' AND {TODAY} - tkt_open_date > {fixed.OVERDUE_AFTER_DAYS}, FALSE) AS INTEGER)
            AS is_overdue,
        tkt_issue_cat AS issue_category, tkt_status AS status, customer_id, customer_number,
        concat(first_name, ' ', last_name) AS customer_full_name, country AS customer_country,
