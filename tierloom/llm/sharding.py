@@ -43,8 +43,8 @@ def sharded(docs: DataFrame, shards: int, id_column: str = "doc_id", text_column
 
     gathered = rows.repartition(buckets, "bucket").groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("place", "row"))).alias("rows"))
     # rows of a bucket, and buckets of a partition, are in a fixed order: a task that runs again draws the same
-    shuffled = gathered.join(offsets, "bucket").sortWithinPartitions("bucket").select("offset", F.shuffle("rows", seed).alias("rows"))
-    placed = shuffled.select("offset", F.posexplode("rows").alias("at", "entry"))
+    shuffled = gathered.sortWithinPartitions("bucket").select("bucket", F.shuffle("rows", seed).alias("rows"))
+    placed = shuffled.join(offsets, "bucket").select("offset", F.posexplode("rows").alias("at", "entry"))
     position = F.col("offset") + F.col("at")
     total, parts = F.lit(max(1, n_rows)), F.lit(shards)
     shard = F.expr(f"(offset + at) * {int(shards)} div {max(1, n_rows)}").cast("int")
