@@ -70,7 +70,7 @@ def _min_values(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-SIGNATURES = "id long, key long, check int, node binary, sig binary, bands array<long>"
+SIGNATURES = "id long, key long, check int, node binary, short long, sig binary, bands array<long>"
 
 
 def _signatures(size: int):
@@ -82,7 +82,7 @@ def _signatures(size: int):
                 n = stop - start
                 words, counts = word_hashes(*utf8_bytes(texts.slice(start, n)))
                 shingles, runs = shingle_hashes(words, counts, size)
-                node, sig, bands = [None] * n, [None] * n, [None] * n
+                node, short, sig, bands = [None] * n, [None] * n, [None] * n, [None] * n
                 full = np.flatnonzero(counts > 0)
                 if len(full):
                     firsts = (np.cumsum(counts) - counts)[full]
@@ -98,10 +98,10 @@ def _signatures(size: int):
                     keys = keys ^ (np.arange(BANDS, dtype=np.uint64) * step)
                     keys = keys.view(np.int64)
                     for k, i in enumerate(full):
-                        node[i], sig[i], bands[i] = both[k].tobytes(), kept[k].tobytes(), keys[k]
+                        node[i], short[i], sig[i], bands[i] = both[k].tobytes(), high[k].view(np.int64), kept[k].tobytes(), keys[k]
                 yield pa.RecordBatch.from_arrays(
-                    [*(c.slice(start, n) for c in batch.columns[:3]), pa.array(node, pa.binary()), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                    ["id", "key", "check", "node", "sig", "bands"],
+                    [*(c.slice(start, n) for c in batch.columns[:3]), pa.array(node, pa.binary()), pa.array(short, pa.int64()), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                    ["id", "key", "check", "node", "short", "sig", "bands"],
                 )
 
     return run
@@ -300,13 +300,15 @@ def classified(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     worded = signed.where("node IS NOT NULL")
     texts = worded.groupBy("node").agg(
         F.count("*").alias("copies"), F.min("id").alias("least_id"), F.min(F.struct("key", "check")).alias("pick"),
-        F.min("sig").alias("sig"), F.min("bands").alias("bands"),
+        F.min("short").alias("short"), F.min("sig").alias("sig"), F.min("bands").alias("bands"),
     )
     texts = stored(texts, "texts")
 
-    entries = texts.select("node", "sig", F.explode("bands").alias("band"))
+    # two numbers for each band of each text; signatures follow only into groups of at least two
+    entries = texts.select("short", F.explode("bands").alias("band"))
     met = entries.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
-    blocks = in_blocks(entries.join(met, "band"), "members", "node", GROUP_BLOCK)
+    grouped_texts = entries.join(met, "band").join(texts.select("short", "node", "sig"), "short")
+    blocks = in_blocks(grouped_texts, "members", "node", GROUP_BLOCK)
     candidates = (
         blocks.select("band", "i", "j", "node", "sig").repartition(width, "band", "i", "j")
         .sortWithinPartitions("band", "i", "j").mapInArrow(_joined(threshold), "a binary, b binary")
@@ -316,7 +318,8 @@ def classified(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     size = near.groupBy("component").agg(F.count("*").alias("members"))
     members = near.join(stored(size, "sizes"), "component").join(texts.select("node", "copies", "pick.*"), "node")
     members = members.select(F.col("component").alias("class"), "members", "node", "copies", "key", "check")
-    full = rows.select("key", "check", "text").join(members, ["key", "check"]).dropDuplicates(["key", "check"])
+    # a join by shuffle at every size: the texts of classes are as many as there are copies in the corpus
+    full = rows.select("key", "check", "text").join(members.hint("merge"), ["key", "check"]).dropDuplicates(["key", "check"])
     blocks = in_blocks(full, "members", "node", TEXT_BLOCK)
     linked = (
         blocks.select("class", "i", "j", "own", "node", "copies", "text").repartition(width, "class", "i", "j")
