@@ -46,6 +46,13 @@ PATTERNS = (
     re.compile(r"(?:\b[A-Z]{3,}\b\W+){6}"),
     re.compile(r"!{3,}|\?!"),
 )
+#: What a text must have for each pattern, which is quicker to see.
+NEEDED = (
+    lambda text, words: "you" in words,
+    lambda text, words: any(c in text for c in "*@#$%"),
+    lambda text, words: True,
+    lambda text, words: "!" in text,
+)
 VOTERS = len(INSULTS) + len(PATTERNS) + 2 * LEXICONS
 FEATURES = 2 * VOTERS + 6
 
@@ -57,6 +64,9 @@ class Lexicon:
     words: dict[str, float] = dataclasses.field(default_factory=dict)
     beginnings: dict[str, float] = dataclasses.field(default_factory=dict)
 
+    def __post_init__(self):
+        self.heads = {w[: BEGINNINGS[0]] for w in self.beginnings}
+
     def votes(self, text: str) -> tuple[int, np.ndarray]:
         """Bits of the voters that call ``text`` toxic, and the features of the classifier."""
         found = LETTERS.findall(text.lower())
@@ -65,8 +75,8 @@ class Lexicon:
         for i, words in enumerate(INSULTS):
             hits[i] = len(distinct & words)
         base = len(INSULTS)
-        for i, pattern in enumerate(PATTERNS):
-            hits[base + i] = pattern.search(text) is not None
+        for i, (pattern, needed) in enumerate(zip(PATTERNS, NEEDED)):
+            hits[base + i] = needed(text, distinct) and pattern.search(text) is not None
         base += len(PATTERNS)
         word_weight = top = beginning_weight = 0.0
         n_words = n_beginnings = 0
@@ -75,8 +85,9 @@ class Lexicon:
             hits[base + _voter(w)] += 1
             word_weight, top, n_words = word_weight + weight, max(top, weight), n_words + 1
         base += LEXICONS
+        likely = [w for w in distinct if w[: BEGINNINGS[0]] in self.heads]
         for size in BEGINNINGS:
-            for w in {w[:size] for w in distinct if len(w) >= size} & self.beginnings.keys():
+            for w in {w[:size] for w in likely if len(w) >= size} & self.beginnings.keys():
                 hits[base + _voter(w)] += 1
                 beginning_weight, n_beginnings = beginning_weight + self.beginnings[w], n_beginnings + 1
         bits = sum(1 << i for i in range(VOTERS) if hits[i])
