@@ -28,7 +28,7 @@ END, START = 0, CLASSES
 #: Words whose counts are broadcast: so many at most, of so many bytes at most. Others meet their counts in a join.
 FREQUENT, FREQUENT_BYTES = 131_072, 32
 #: Vector length, tokens of a step, noise classes of a step, step size, passes over the training texts.
-SIZE, STEP, NOISE, RATE, ROUNDS = 24, 2048, 64, 0.1, 2
+SIZE, STEP, NOISE, RATE, ROUNDS = 24, 4096, 64, 0.1, 2
 SEED = 3
 #: Bins of the counts' histogram in each doubling.
 BINS = 64
@@ -41,7 +41,7 @@ def _tokens(text: str | None) -> list[bytes]:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for start, stop in slices_by_bytes(batch.column(0), 16 << 20):
+        for start, stop in slices_by_bytes(batch.column(0), 8 << 20):
             counts: Counter = Counter()
             for text in batch.column(0).slice(start, stop - start):
                 counts.update(_tokens(text.as_py()))
@@ -68,8 +68,21 @@ class Counts:
         return self.tokens + self.distinct + 1
 
 
+class _Endings(dict):
+    """Class of each ending; the first 100,000 met are remembered."""
+
+    def __missing__(self, end: bytes) -> int:
+        value = 1 + OWN + zlib.crc32(end) % ENDINGS
+        if len(self) < 100_000:
+            self[end] = value
+        return value
+
+
+_endings = _Endings()
+
+
 def ending(word: bytes) -> int:
-    return 1 + OWN + zlib.crc32(word[-ENDING:]) % ENDINGS
+    return _endings[word[-ENDING:]]
 
 
 def counted(train: DataFrame, text_column: str = "text") -> Counts:
@@ -136,30 +149,36 @@ def contexts(classes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def _summed(rows: np.ndarray, gradients: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(rows, kind="stable")
-    names, at = np.unique(rows[order], return_index=True)
-    return names, np.add.reduceat(gradients[order], at, axis=0)
+    order = np.argsort(rows, kind="stable")  # by radix, as rows are 16-bit numbers
+    ordered = rows[order]
+    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    return ordered[at], np.add.reduceat(gradients[order], at, axis=0)
 
 
 class Trainer:
     """Noise-contrastive estimation in steps of ``STEP`` tokens, which share their noise; step sizes by Adagrad."""
 
     def __init__(self, weights: Weights, noise: np.ndarray, seed: int):
-        self.w, self.rng = weights, np.random.default_rng([SEED, seed])
-        self.log_noise = np.log(noise) + math.log(NOISE)
+        parts = (weights.context, weights.target, weights.bias, weights.places)
+        self.w, self.rng = Weights(*(x.astype(np.float32) for x in parts)), np.random.default_rng([SEED, seed])
+        self.log_noise = (np.log(noise) + math.log(NOISE)).astype(np.float32)
         self.cumulated = np.cumsum(noise)
-        self.squares = Weights(*(np.full_like(x, 1e-2) for x in (weights.context, weights.target, weights.bias, weights.places)))
+        self.squares = Weights(*(np.full(x.shape, 1e-2, np.float32) for x in parts))
 
     def step(self, token: np.ndarray, before: np.ndarray, second: np.ndarray) -> None:
         w = self.w
-        noise = np.minimum(np.searchsorted(self.cumulated, self.rng.random(NOISE)), CLASSES - 1)
+        noise = np.minimum(np.searchsorted(self.cumulated, self.rng.random(NOISE)), CLASSES - 1).astype(np.int16)
         one, two = w.context[before], w.context[second]
         predicted = one * w.places[0] + two * w.places[1]
         vectors, others = w.target[token], w.target[noise]
         real = (predicted * vectors).sum(axis=1) + w.bias[token] - self.log_noise[token]
         false = predicted @ others.T + w.bias[noise] - self.log_noise[noise]
         up = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        down = -1 / (1 + np.exp(-np.clip(false, -30, 30)))
+        np.clip(false, -30, 30, out=false)
+        np.negative(false, out=false)
+        np.exp(false, out=false)
+        false += 1
+        down = np.divide(-1, false, out=false)
         toward = up[:, None] * vectors + down @ others
         rows = np.concatenate([token, noise])
         gradients = np.vstack([np.hstack([up[:, None] * predicted, up[:, None]]), np.hstack([down.T @ predicted, down.sum(axis=0)[:, None]])])
@@ -171,10 +190,10 @@ class Trainer:
         self._move("places", np.arange(2), np.stack([(toward * one).sum(axis=0), (toward * two).sum(axis=0)]))
 
     def _move(self, name: str, rows: np.ndarray, gradient: np.ndarray) -> None:
-        gradient = gradient / STEP * 16
+        gradient = gradient * np.float32(16 / STEP)
         squares = getattr(self.squares, name)
         squares[rows] += gradient * gradient
-        getattr(self.w, name)[rows] += RATE * gradient / np.sqrt(squares[rows])
+        getattr(self.w, name)[rows] += np.float32(RATE) * gradient / np.sqrt(squares[rows])
 
 
 def _trained(flat: np.ndarray, noise: np.ndarray, own: list[bytes], round_: int):
@@ -183,7 +202,7 @@ def _trained(flat: np.ndarray, noise: np.ndarray, own: list[bytes], round_: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        known = {w: i + 1 for i, w in enumerate(own)}
+        known, ends = {w: i + 1 for i, w in enumerate(own)}, _Endings()
         trainer = Trainer(Weights.of(flat), noise, TaskContext.get().partitionId() * ROUNDS + round_)
         seen = 0
         for batch in batches:
@@ -192,10 +211,10 @@ def _trained(flat: np.ndarray, noise: np.ndarray, own: list[bytes], round_: int)
                 lengths = []
                 for text in batch.column(0).slice(start, stop - start):
                     words = _tokens(text.as_py())
-                    classes += [known.get(w) or ending(w) for w in words]
+                    classes += [known.get(w) or ends[w[-ENDING:]] for w in words]
                     classes.append(END)
                     lengths.append(len(words) + 1)
-                token = np.array(classes)
+                token = np.array(classes, np.int16)
                 before, second = contexts(token, np.array(lengths))
                 order = trainer.rng.permutation(len(token))
                 for k in range(0, len(order), STEP):
@@ -203,7 +222,7 @@ def _trained(flat: np.ndarray, noise: np.ndarray, own: list[bytes], round_: int)
                     trainer.step(token[some], before[some], second[some])
                 seen += len(token)
         if seen:
-            out = trainer.w.flat() * seen
+            out = trainer.w.flat().astype(np.float64) * seen
             columns = [pa.array(np.arange(len(out), dtype=np.int32)), *(pa.array(out[:, j]) for j in range(SIZE + 1)), pa.array(np.full(len(out), float(seen)))]
             yield pa.RecordBatch.from_arrays(columns, ["row", *(f"v{j}" for j in range(SIZE + 1)), "tokens"])
 
@@ -225,9 +244,14 @@ class Model:
 
 def normalised(weights: Weights) -> Model:
     norms = np.empty((CLASSES + 1, CLASSES + 1))
-    two = weights.context * weights.places[1]
+    # exp(a + b + c) of the class, the one before and the one before that: a product of three factors for each class
+    low, high = np.log(np.finfo(float).tiny) / 4, np.log(np.finfo(float).max) / 4
+    parts = [(weights.context * place) @ weights.target.T for place in weights.places]
+    if all(low < x.min() and x.max() < high for x in (*parts, weights.bias)):
+        one, two = (np.exp(x) for x in parts)
+        return Model(weights, np.log((one * np.exp(weights.bias)) @ two.T))
     for i in range(CLASSES + 1):
-        scores = (two + weights.context[i] * weights.places[0]) @ weights.target.T + weights.bias
+        scores = parts[1] + parts[0][i] + weights.bias
         most = scores.max(axis=1)
         norms[i] = most + np.log(np.exp(scores - most[:, None]).sum(axis=1))
     return Model(weights, norms)
