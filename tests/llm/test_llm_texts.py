@@ -4,10 +4,12 @@ import hashlib
 import math
 import random
 import re
+import types
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -269,6 +271,18 @@ def test_probabilities_of_all_classes_sum_to_one(spark):
     assert second.tolist() == [lm.START, lm.START, lm.START, lm.START, lm.START, 5]
 
 
+def test_weights_are_updated_once_for_2048_tokens(monkeypatch):
+    import pyspark
+
+    sizes = []
+    monkeypatch.setattr(lm.Trainer, "step", lambda self, token, before, second: sizes.append(len(token)))
+    monkeypatch.setattr(pyspark.TaskContext, "get", lambda: types.SimpleNamespace(partitionId=lambda: 0))
+    noise = np.full(lm.CLASSES, 1 / lm.CLASSES)
+    run = lm._trained(lm.started(noise).flat(), noise, [b"w"], 0)
+    list(run(iter([pa.RecordBatch.from_arrays([pa.array(["w " * 8191])], ["text"])])))
+    assert sizes == [2048] * 4
+
+
 def test_scores_without_training_texts_or_documents(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     counts = lm.counted(docs.where("false"))
