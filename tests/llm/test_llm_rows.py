@@ -115,6 +115,23 @@ def test_no_rows_to_shard_repeated_rows_and_native_plan(spark, plan_of):
     assert max(Counter(r["shard"] for r in got).values()) == 4
 
 
+def test_rows_that_repeat_id_and_text_are_dealt_over_all_shards(spark):
+    rows = [(None, None, i) for i in range(500)] + [(7, "same", 0)] * 500 + [(i, "t", i) for i in range(1000, 3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n long").repartition(5)
+    got = sharding.sharded(df, 8, bucket_bytes=8000).collect()
+    assert Counter(tuple(r["row"]) for r in got) == Counter(rows)
+    for id_ in (None, 7):
+        counts = Counter(r["shard"] for r in got if r["row"]["doc_id"] == id_)
+        assert all(30 < counts[s] < 100 for s in range(8))  # 62.5 each
+    where = lambda found: Counter((r["shard"], r["slot"], *r["row"]) for r in found)
+    assert where(got) == where(sharding.sharded(df, 8, bucket_bytes=8000).collect())
+
+
+def test_all_columns_count_for_the_size_of_a_row(spark):
+    df = spark.createDataFrame([(1, None, "x" * 500, ["y" * 300])], "doc_id long, text string, html string, parts array<string>")
+    assert 864 <= df.select(sharding.row_bytes(df)).first()[0] < 920
+
+
 def by_hand(sizes, weights, share=Fraction(3, 2), most=2):
     """Targets by dealing out in exact numbers."""
     out, left, open_ = {}, share * sum(sizes), [i for i, s in enumerate(sizes) if s]

@@ -7,14 +7,32 @@ cut it into even parts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
+from tierloom.llm.common import stored
 from tierloom.session import new_table_path
 
 SEED = 7
 #: Bytes of rows in a bucket; a task holds one bucket at a time.
 BUCKET_BYTES = 16 << 20
+#: Rows that repeat id and text are dealt out one by one if together they hold more than this part of a bucket.
+REPEATED = 16
+
+
+def row_bytes(docs: DataFrame) -> Column:
+    """About the bytes of a row in memory, all columns counted."""
+    size = F.lit(64)
+    for field in docs.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            column = column.cast("string")
+        elif not isinstance(field.dataType, (StringType, BinaryType)):
+            size = size + F.lit(16)
+            continue
+        size = size + F.coalesce(F.octet_length(column), F.lit(0))
+    return size.cast("long")
 
 
 def sharded(docs: DataFrame, shards: int, id_column: str = "doc_id", text_column: str = "text", seed: int = SEED, bucket_bytes: int = BUCKET_BYTES, folder: str | None = None) -> DataFrame:
@@ -23,21 +41,30 @@ def sharded(docs: DataFrame, shards: int, id_column: str = "doc_id", text_column
     The law is ``rows``: counts of shards differ by one at most, and ``slot`` counts from 0 within a shard. Shards are
     written to ``folder`` (a new one in the shared folder), a directory each, and returned as written.
 
-    * Rows are scattered by id and text, so many NULL or repeated ids are dealt out like others; only rows that repeat
-      both share a bucket.
-    * NULL and empty texts are rows like others; a very long text makes its bucket larger by its length.
+    * Rows are scattered by id and text, so many NULL or repeated ids are dealt out like others. Rows that repeat both
+      share a bucket while they are small together; else each is scattered by its place among the repeated rows of
+      its input partition, which is stored first. A rerun over the same partitions draws the same.
+    * NULL and empty texts are rows like others; a very long row makes its bucket larger by its length.
     * An empty table gives no rows. Columns of ``docs`` stay in ``row``, so their names cannot clash.
 
-    The driver holds two numbers. Bucket counts, one row for each ``bucket_bytes`` of rows, are summed up by a window.
+    The driver holds three numbers. Bucket counts, one row for each ``bucket_bytes`` of rows, are summed up by a window.
     """
     spark = docs.sparkSession
-    n_rows, n_bytes = docs.agg(F.count("*"), F.sum(F.coalesce(F.octet_length(text_column), F.lit(0)) + 64)).first()
+    place = F.xxhash64(F.lit(seed), F.col(id_column), F.col(text_column)).alias("place")
+    keys = docs.select(place, row_bytes(docs).alias("size")).groupBy("place").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    repeated = (F.col("n") > 1) & (F.col("bytes") > bucket_bytes // REPEATED)
+    n_rows, n_bytes, n_repeated = keys.agg(F.coalesce(F.sum("n"), F.lit(0)), F.sum("bytes"), F.count_if(repeated)).first()
     buckets = max(1, -(-int(n_bytes or 0) // bucket_bytes))
-    place = F.xxhash64(F.lit(seed), F.col(id_column), F.col(text_column))
-    bucket = F.pmod(place, F.lit(buckets)).cast("int").alias("bucket")
-    rows = docs.select(bucket, place.alias("place"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = docs.select(place, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    if n_repeated:
+        many = stored(keys.where(repeated).select("place"), "repeated")
+        # in a fixed order, whatever order a partition's rows came in; stored, so that counting and gathering see one salt
+        salted = rows.join(many, "place", "left_semi").sortWithinPartitions("place", "row")
+        salted = stored(salted.select(F.xxhash64("place", F.monotonically_increasing_id()).alias("place"), "row"), "salted")
+        rows = rows.join(many, "place", "left_anti").unionByName(salted)
+    rows = rows.select(F.pmod("place", F.lit(buckets)).cast("int").alias("bucket"), "place", "row")
 
-    counts = docs.select(bucket).groupBy("bucket").agg(F.count("*").alias("n"))
+    counts = rows.groupBy("bucket").agg(F.count("*").alias("n"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
 
