@@ -201,3 +201,17 @@ def test_mix_of_few_rows_and_none(spark):
     assert mixing.mixed(spark.createDataFrame([], schema)).collect() == []
     got = mixing.planned(spark.createDataFrame([(1, None, None), (None, "a b", "s"), (2, "a b", "s"), (2, "a b", "s")], schema)).collect()
     assert sorted((r.doc_id or 0, r.size, r.source_size, r.target) for r in got) == [(0, 2, 6, 9.0), (1, 0, 0, 0.0), (2, 2, 6, 9.0), (2, 2, 6, 9.0)]
+
+
+def test_a_pass_ends_among_repeated_rows(spark):
+    rows = [(i, "w " * 5, "s") for i in range(200)] + [(None, "w " * 5, "s")] * 100
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    for share in (1.1, 1.3, 1.5, 1.7, 1.9):
+        plan = mixing.planned(df, share=share).collect()
+        assert len(plan) == 300
+        assert sum(r.taken for r in plan) == pytest.approx(plan[0].target, abs=2.5)
+    again = Counter(r.copies for r in plan if r.doc_id is None)
+    assert set(again) == {1, 2} and sum(again.values()) == 100
+    assert len({s for r in plan if r.doc_id is None for s in r.shards}) == 8
+    mix = mixing.mixed(df, share=1.9).collect()
+    assert Counter((r["shard"], r["row"]["doc_id"]) for r in mix) == Counter((s, r.doc_id) for r in plan for s in r.shards)

@@ -76,7 +76,7 @@ def _drawn(rng: np.random.Generator, have: np.ndarray, n: int) -> np.ndarray:
 
 @dataclass
 class Mixture:
-    """How often, and for which shards, each row is drawn. Rows are told by their source and place, as in ``located``."""
+    """How often, and for which shards, each row is drawn. Rows are told by their source and place, as in ``_placed``."""
 
     sources: DataFrame
 
@@ -92,10 +92,27 @@ class Mixture:
 
 
 def located(docs: DataFrame, id_column: str, text_column: str, source_column: str, seed: int) -> list[Column]:
-    """source, size in words, and the place among its source's rows, a seeded hash."""
+    """source, size in words, and the key of its place among its source's rows, a seeded hash; see ``_placed``."""
     words = F.regexp_count(F.col(text_column), F.lit(WORD))
-    place = F.pmod(F.xxhash64(F.lit(seed), F.col(id_column), F.col(text_column)), F.lit(_TOP))
-    return [F.col(source_column).alias("source"), F.coalesce(words, F.lit(0)).cast("long").alias("size"), place.alias("place")]
+    key = F.xxhash64(F.lit(seed), F.col(id_column), F.col(text_column))
+    return [F.col(source_column).alias("source"), F.coalesce(words, F.lit(0)).cast("long").alias("size"), key.alias("key")]
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """``rows`` (key, source, ...) with their place instead of the key.
+
+    Rows that repeat an id and text have a place each, by their ordinal among such rows of their partition. They are stored,
+    so that all who read them see one place.
+    """
+    place = F.pmod(F.col("key"), F.lit(_TOP)).alias("place")
+    others = [c for c in rows.columns if c != "key"]
+    repeated = stored(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "repeated")
+    if repeated.isEmpty():
+        return rows.select(*others, place)
+    again = rows.join(repeated, "key", "left_semi").sortWithinPartitions("key", "source", F.xxhash64(*[F.col(c).cast("string") for c in others]))
+    again = again.withColumn("key", F.xxhash64("key", F.monotonically_increasing_id()))
+    again = stored(again.select(*others, place), "again")
+    return rows.join(repeated, "key", "left_anti").select(*others, place).unionByName(again)
 
 
 def mixture(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, shards: int = SHARDS, seed: int = SEED) -> Mixture:
@@ -146,11 +163,11 @@ def planned(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
 
     ``size`` is the number of words (0 for NULL), ``taken`` the words the mix takes of the row, repeats counted, ``shards``
     the output shard of each copy. A NULL source is a source. Rows of no words are in the mix as often as their place says. Rows that repeat an id and
-    text are drawn alike. Reruns draw the same. An empty table gives no rows. Other columns are ignored.
+    text are drawn one by one, so a pass may end among them. Reruns over the same partitions draw the same. An empty table gives no rows. Other columns are ignored.
     """
     seed = parameters.get("seed", SEED)
     rows = docs.select(F.col(id_column).cast("long").alias("id"), *located(docs, id_column, text_column, source_column, seed))
-    rows = stored(rows, "located")
+    rows = stored(_placed(rows), "located")
     out = mixture(rows, **parameters).drawn(rows)
     return out.select(
         F.col("id").alias(id_column), "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), "shards"
@@ -164,8 +181,8 @@ def mixed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     """
     seed = parameters.get("seed", SEED)
     columns = located(docs, id_column, text_column, source_column, seed)
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns)
-    drawn = mixture(stored(docs.select(*columns), "located"), **parameters).drawn(whole)
+    whole = _placed(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns))
+    drawn = mixture(stored(whole.select("source", "size", "place"), "located"), **parameters).drawn(whole)
     copies = drawn.select("row", "place", F.posexplode("shards").alias("copy", "shard"))
     copies = copies.withColumn("turn", F.xxhash64(F.lit(seed), "place", "copy"))
     width = shuffle_partitions(docs.sparkSession)
