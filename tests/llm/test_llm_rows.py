@@ -215,3 +215,12 @@ def test_a_pass_ends_among_repeated_rows(spark):
     assert len({s for r in plan if r.doc_id is None for s in r.shards}) == 8
     mix = mixing.mixed(df, share=1.9).collect()
     assert Counter((r["shard"], r["row"]["doc_id"]) for r in mix) == Counter((s, r.doc_id) for r in plan for s in r.shards)
+
+
+def test_more_copies_than_three(spark):
+    rows = [(i, "w " * 5, "ab"[i % 10 == 0]) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.planned(df, most=5.0, share=1.9, weights=(1, 1)).collect()
+    assert max(r.copies for r in plan) == 5 and all(len(r.shards) == r.copies for r in plan)
+    mix = Counter(r["row"]["doc_id"] for r in mixing.mixed(df, most=5.0, share=1.9, weights=(1, 1)).collect())
+    assert mix == Counter({r.doc_id: r.copies for r in plan if r.copies})

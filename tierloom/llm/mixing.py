@@ -86,7 +86,7 @@ class Mixture:
         copies = F.col("passes") + F.when(F.col("place") <= F.col("cut"), 1).otherwise(0)
         joined = joined.withColumn("copies", F.coalesce(copies, F.lit(0)).cast("int"))
         shards = F.expr(
-            f"transform(slice(sequence(0, 2), 1, copies), c -> size(filter(bounds, b -> b <= (step * (c * {BLOCKS}L + place * {BLOCKS}L div {_TOP}L) + shift) % units)))"
+            f"transform(slice(sequence(0, greatest(copies, 1) - 1), 1, copies), c -> size(filter(bounds, b -> b <= (step * (c * {BLOCKS}L + place * {BLOCKS}L div {_TOP}L) + shift) % units)))"
         )
         return joined.withColumn("shards", shards).drop("passes", "cut", "bounds", "step", "shift", "units")
 
