@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm import bpe, embedding_dedup, fingerprints, language, lm, mixing, ngram_join, sharding, toxicity, warc
+from tierloom.llm import bpe, collocations, conversations, embedding_dedup, fingerprints, language, lm, mixing, ngram_join, packing, sharding, toxicity, warc
 from tierloom.llm.common import fold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 REGISTERED_SQL: dict[str, str] = {}
 
 BPE_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -117,3 +118,47 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     counts = lm.counted(train)
     scores = lm.scored(docs, counts, lm.trained(train, counts))
     return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op11_packing")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.packed(table(spark, folder, "documents"), BYTE_VOCABULARY)
+    return pieces.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    return conversations.audited(rows, conversations.damaged(rows))
+
+
+@query(
+    "op13_collocations",
+    r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ), words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words WHERE len(w) > 0),
+    phrases AS (
+        SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+        FROM starts, (VALUES (1), (2), (3), (4), (5)) AS sizes(size) WHERE i + size - 1 <= len(w) GROUP BY ALL
+    ), totals AS (SELECT lang, sum(f)::BIGINT AS n FROM phrases WHERE size = 1 GROUP BY lang),
+    candidates AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM phrases WHERE size >= 2 AND f >= 100),
+    cuts AS (SELECT *, unnest(range(1, size)) AS cut FROM candidates),
+    scored AS (
+        SELECT c.lang, c.phrase, c.a, l.f AS l, r.f AS r, t.n, c.cut, (1000::HUGEINT * c.a * t.n) // (l.f::HUGEINT * r.f) AS score
+        FROM cuts c JOIN phrases l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.cut], ' ')
+        JOIN phrases r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.cut + 1:], ' ') JOIN totals t ON t.lang = c.lang
+    ), best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+    lengths AS (SELECT *, unnest(range(2, size)) AS k FROM candidates WHERE size >= 3),
+    spans AS (SELECT *, unnest(range(1, size - k + 2)) AS i FROM lengths),
+    around AS (SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, max(a) AS f FROM spans GROUP BY ALL),
+    kept AS (SELECT b.* FROM best b LEFT JOIN around o ON o.lang = b.lang AND o.phrase = b.phrase WHERE o.f IS NULL OR 100 * o.f < 100 * b.a),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+    SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+    """.replace(r"\x", r"\x"),
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
