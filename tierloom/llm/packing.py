@@ -8,7 +8,9 @@ group are taken apart to fill the gaps of the others, so that at most one sequen
 
 from __future__ import annotations
 
+import json
 import os
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,42 +28,79 @@ from tierloom.llm.words import mix
 SIZE, CLOSING, GROUP_TOKENS = 1024, 0, 1 << 20
 SEED = 11
 #: Bytes of an id. Texts of more characters are split in steps. Parts whose ids a worker remembers. Bytes of ids in a batch.
-WIDTH, STEP, REMEMBERED, BATCH_BYTES = 4, 1 << 20, 600_000, 4 << 20
+WIDTH, STEP, REMEMBERED, BATCH_BYTES = 4, 1 << 20, 500_000, 4 << 20
+
+
+#: Marks that stand at the end of words, and the first character that may be a letter to one Unicode version and none to another.
+MARKS, UNSURE = ".,;:!?", "\u0530"
+
+
+def _byte_level(path: str) -> bool:
+    """Whether the tokenizer works on bytes, pre-tokens beginning at single spaces, and changes no text before."""
+    with open(path, encoding="utf-8") as file:
+        layout = json.load(file)
+    before = layout["pre_tokenizer"] or {}
+    plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+    special = any(" " in t["content"] or t["content"].isalpha() or t["lstrip"] or t["rstrip"] for t in layout["added_tokens"])
+    return bool(plain and not special and layout["normalizer"] is None and layout["model"]["type"] == "BPE")
+
+
+def _byte_symbols() -> dict[int, str]:
+    """The character that stands for each byte: itself if it prints, otherwise one from 256 on, in order."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
 class _Parts(dict):
     """Ids of the parts of texts that begin at a space, as bytes, remembered; ``None`` for parts that do not stand alone.
 
     Byte-level merges never cross the border of a pre-token, and a space before anything but white space begins one. A part
-    that is empty, or begins or ends with white space besides that space, may lie in a longer run of white space.
+    that is empty, or begins or ends with white space besides that space, may lie in a longer run of white space. Words of letters
+    are one pre-token each and go to the tokenizer's merges at once. What comes first stays remembered, later parts for a while.
     """
 
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
-        self.first: dict[str, bytes | None] = {}
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.model, self.symbols = self.tokenizer.model, _byte_symbols()
+        self.byte_level = _byte_level(path)
+        self.later: dict[str, bytes | None] = {}
+        self.marks = {m: self.encoded(m) for m in MARKS}
 
     def encoded(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _of(self, part: str, before: str) -> bytes | None:
+    def head(self, part: str) -> bytes | None:
+        """Ids of a part that begins its text, without a space."""
+        return None if not part or part[0].isspace() or part[-1].isspace() else self.encoded(part)
+
+    def _of(self, part: str) -> bytes | None:
         if not part or part[0].isspace() or part[-1].isspace():
             return None
-        return self.encoded(before + part)
+        if part.isalpha() and max(part) < UNSURE:
+            merged = self.model.tokenize((" " + part).encode("utf-8").decode("latin-1").translate(self.symbols))
+            return array("I", [token.id for token in merged]).tobytes()
+        word, mark = part[:-1], part[-1]
+        if mark in self.marks and word.isalpha() and max(word) < UNSURE:
+            return self[word] + self.marks[mark]
+        return self.encoded(" " + part)
 
     def __missing__(self, part: str) -> bytes | None:
-        value = self._of(part, " ")
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[part] = value
+        if part in self.later:
+            return self.later[part]
+        value = self._of(part)
+        if len(self) < REMEMBERED:
+            self[part] = value
+        else:
+            if len(self.later) >= REMEMBERED // 2:
+                self.later.clear()
+            self.later[part] = value
         return value
 
-    def head(self, part: str) -> bytes | None:
-        if part not in self.first:
-            if len(self.first) >= REMEMBERED // 8:
-                self.first.clear()
-            self.first[part] = self._of(part, "")
-        return self.first[part]
-
 
 _known: dict[str, _Parts] = {}
 
@@ -69,19 +108,17 @@ _known: dict[str, _Parts] = {}
 def _parts_of(path: str) -> _Parts:
     if path not in _known:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task for each core
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        _known[path] = _Parts(tokenizer)
+        _known[path] = _Parts(path)
     return _known[path]
 
 
 def token_bytes(text: str | None, parts: _Parts) -> bytes:
-    """Ids of a whole text, four little-endian bytes each; the library's own for a text with runs of white space."""
+    """Ids of a whole text, four little-endian bytes each; the library's own for a text with runs of white space, and for
+    tokenizers of another kind."""
     if not text:
         return b""
+    if not parts.byte_level:
+        return parts.encoded(text)
     out = []
     try:
         at = 0
