@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 
 from tierloom.plans import checks, reports
-from tierloom.plans.refresh import build_star, cleanse_all, land, register_views
+from tierloom.plans.refresh import build_star, cleanse_all, land, read_cleansed, register_views
 from tierloom.sources.landing import LANDING_FILES
 from tierloom.sources.tables import AUDIT_COLUMN
 
@@ -103,7 +103,7 @@ def layers(spark, tmp_path_factory):
     assert {x.table: x.rows for x in loads} == {n: len(v) - 1 for n, v in EXTRACTS.items()}
     for _ in range(2):  # a refresh can be repeated
         cleanse_all(spark, str(root / "landed"), str(root / "cleansed"), AS_OF)
-    cleansed = {name: spark.read.parquet(str(root / "cleansed" / name)) for name in EXTRACTS}
+    cleansed = {name: read_cleansed(spark, str(root / "cleansed"), name) for name in EXTRACTS}
     return cleansed, build_star(cleansed, AS_OF)
 
 

@@ -1,7 +1,7 @@
 """Full refresh: extracts -> landed tables -> cleansed tables -> star schema.
 
-Every table is replaced as a whole, so a rerun after a failure starts over cleanly. Tables that do not
-depend on each other are loaded side by side.
+Every load publishes a new version of its table as a whole (:mod:`tierloom.sources.versions`), so a load that fails
+leaves the old table readable, and a rerun starts over cleanly. Tables that do not depend on each other are loaded side by side.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import partial
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierloom.plans import cleanse, star
@@ -18,44 +18,47 @@ from tierloom.sources.landing import (
     LANDING_SCHEMAS,
     REJECTED,
     read_landing,
-    split_rejected,
 )
 from tierloom.sources.tables import (
     REQUIRED_COLUMNS,
     Batch,
     assert_required,
+    complete,
     load_all,
+    record_loads,
     side_by_side,
     with_audit,
-    write_refresh,
 )
+from tierloom.sources.versions import HELD_BACK, PASSED, current, publish, read_version
 
 # What must be cleansed first, because another table is checked against it.
 _CHECKED_AGAINST = {"erp_inv_q4v1": "crm_prd_info", "erp_po_ord44": "erp_vnd_z90"}
 
 
 def land(
-    spark: SparkSession, extracts: str, landed: str, tables: Mapping[str, str] | None = None
+    spark: SparkSession, extracts: str, landed: str, tables: Mapping[str, str] | None = None, log: str | None = None
 ) -> Batch:
-    """Store the extracts under ``extracts`` as typed tables under ``landed``. ``tables`` maps table
-    names to files, by default all twelve. Lines that do not fit go to ``<table>_rejected``."""
+    """Store the extracts under ``extracts`` as typed tables under ``landed``. ``tables`` maps table names to files, by
+    default all twelve. Lines that do not fit are held back in the same write; see :func:`read_landed`. ``log`` is the table
+    the loads are recorded in."""
 
     def load(table: str, file: str) -> int:
         rows = read_landing(
             spark, f"{extracts}/{file}", LANDING_SCHEMAS[table], file_order=table == "erp_vnd_z90"
         )
-        misfits = Observation()
-        observed = rows.observe(misfits, F.count(REJECTED).alias("lines"))
-        stored = write_refresh(split_rejected(observed)[0], f"{landed}/{table}")
-        # The extract is read a second time only if there is something to put aside.
-        rejected = split_rejected(rows)[1]
-        write_refresh(
-            rejected if misfits.get["lines"] else rejected.limit(0), f"{landed}/{table}_rejected"
-        )
-        return stored
+        fits = F.col(REJECTED).isNull()
+        return publish(rows, f"{landed}/{table}", outcomes={PASSED: fits, HELD_BACK: ~fits}).outcomes[PASSED]
 
     files = LANDING_FILES if tables is None else tables
-    return load_all({table: partial(load, table, file) for table, file in files.items()})
+    batch = load_all({table: partial(load, table, file) for table, file in files.items()})
+    return batch if log is None else record_loads(spark, batch, log)
+
+
+def read_landed(spark: SparkSession, landed: str, table: str, rejected: bool = False) -> DataFrame:
+    """The rows of a landed table, or with ``rejected`` the lines that did not fit, as ``_rejected_line``."""
+    if rejected:
+        return read_version(spark, f"{landed}/{table}", outcome=HELD_BACK)
+    return read_version(spark, f"{landed}/{table}", outcome=PASSED).drop(REJECTED)
 
 
 def _cleansers(read: Callable[[str], DataFrame], clean: Callable[[str], DataFrame], as_of):
@@ -80,21 +83,40 @@ def _cleansers(read: Callable[[str], DataFrame], clean: Callable[[str], DataFram
 
 
 def cleanse_all(
-    spark: SparkSession, landed: str, cleansed: str, as_of=None, audit_time=None
+    spark: SparkSession, landed: str, cleansed: str, as_of=None, audit_time=None, hold_back: bool = False, log: str | None = None
 ) -> Batch:
-    """Cleanse the tables found under ``landed`` into ``cleansed``, each with its load time. A NULL in
-    a required column fails the load. A table that is checked against another one waits for that one only."""
+    """Cleanse the tables landed under ``landed`` into ``cleansed``, each with its load time. A NULL in a required column
+    fails the load or, with ``hold_back``, keeps that row out of the table, in the same write; see :func:`read_cleansed`. A table
+    that is checked against another one waits for that one only. ``log`` is the table the loads are recorded in."""
     plans = _cleansers(
-        lambda table: spark.read.parquet(f"{landed}/{table}"),
-        lambda table: spark.read.parquet(f"{cleansed}/{table}"),
-        as_of,
+        lambda table: read_landed(spark, landed, table), lambda table: read_cleansed(spark, cleansed, table), as_of
     )
 
     def load(table: str) -> int:
-        gated = assert_required(plans[table](), REQUIRED_COLUMNS.get(table, ()))
-        return write_refresh(with_audit(gated, audit_time), f"{cleansed}/{table}")
-
-    return load_all({t: partial(load, t) for t in plans}, after=_CHECKED_AGAINST)
+        required, path = REQUIRED_COLUMNS.get(table, ()), f"{cleansed}/{table}"
+        if hold_back:
+            whole = complete(required)
+            rows = with_audit(plans[table](), audit_time)
+            return publish(rows, path, outcomes={PASSED: whole, HELD_BACK: ~whole}).outcomes[PASSED]
+        return publish(with_audit(assert_required(plans[table](), required), audit_time), path).rows
+
+    batch = load_all({t: partial(load, t) for t in plans}, after=_CHECKED_AGAINST)
+    return batch if log is None else record_loads(spark, batch, log)
+
+
+def read_cleansed(spark: SparkSession, cleansed: str, table: str, held_back: bool = False) -> DataFrame:
+    """The newest version of a cleansed table, or the rows that its gate held back."""
+    path = f"{cleansed}/{table}"
+    split = bool(current(spark, path).outcomes)
+    if held_back:
+        return read_version(spark, path, outcome=HELD_BACK) if split else read_version(spark, path).limit(0)
+    return read_version(spark, path, outcome=PASSED if split else None)
+
+
+def store_star(star: Mapping[str, DataFrame], path: str, log: str | None = None) -> Batch:
+    """Publish the tables of the star under ``path``."""
+    batch = load_all({name: lambda n=name: publish(star[n], f"{path}/{n}").rows for name in star})
+    return batch if log is None else record_loads(next(iter(star.values())).sparkSession, batch, log)
 
 
 def build_star(cleansed: Mapping[str, DataFrame], as_of=None) -> dict[str, DataFrame]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import time
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial, reduce
@@ -11,10 +12,15 @@ from multiprocessing.pool import ThreadPool
 from threading import Event
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tierloom.sources.versions import HELD_BACK, PASSED, Version, publish
+
 AUDIT_COLUMN = "dwh_create_date"
+#: The line of a batch in reports of its loads, and the columns of the table of loads.
+BATCH = "(batch)"
+LOADS = "batch string, table string, rows bigint, seconds double, ended timestamp"
 
 # Columns a cleansed table must not have NULLs in.
 REQUIRED_COLUMNS: dict[str, tuple[str, ...]] = {
@@ -55,10 +61,23 @@ def with_audit(df: DataFrame, as_of: datetime.datetime | None = None) -> DataFra
     return df.withColumn(AUDIT_COLUMN, stamp)
 
 
+def complete(required: Sequence[str]) -> Column:
+    """Whether a row has all required columns."""
+    return reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in required), F.lit(True))
+
+
 def not_null_gate(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows with all required columns, and the rows held back because one of them is NULL."""
-    complete = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in required), F.lit(True))
-    return df.filter(complete), df.filter(~complete)
+    """Rows with all required columns, and the rows held back because one of them is NULL. Storing both reads ``df`` twice;
+    :func:`write_gated` stores them in one pass."""
+    return df.filter(complete(required)), df.filter(~complete(required))
+
+
+def write_gated(df: DataFrame, required: Sequence[str], path: str, columns: Sequence[str] | None = None) -> Version:
+    """Publish ``df`` in one pass with the rows that lack a required column held back, beside those that passed.
+
+    ``read_version(spark, path, outcome=PASSED)`` is the table; its rows and those held back are in ``outcomes``."""
+    whole = complete(required)
+    return publish(df, path, columns, outcomes={PASSED: whole, HELD_BACK: ~whole})
 
 
 def assert_required(df: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -84,10 +103,10 @@ def _write_counted(
 def write_refresh(
     df: DataFrame, path: str, columns: Sequence[str] | None = None, partition_by: Sequence[str] = ()
 ) -> int:
-    """Replace the table at ``path`` by ``df`` and return its number of rows.
+    """Replace the files at ``path`` by ``df`` and return the number of rows.
 
-    Running it again gives the same table. ``columns`` fixes which columns are stored and in which
-    order.
+    Running it again gives the same files. ``columns`` fixes which columns are stored and in which order. The old files go
+    before the new ones are whole: for a table that others read, use :func:`tierloom.sources.versions.publish`.
     """
     return _write_counted(df, columns, lambda w: w.partitionBy(*partition_by).parquet(path))
 
@@ -154,10 +173,24 @@ def run_report(spark: SparkSession, loads: Batch) -> DataFrame:
     """Table, rows and seconds of each load; under ``(batch)`` all rows, and how long the whole took. Loads run
     side by side, so the batch takes less than its loads together."""
     lines = [(load.table, load.rows, load.seconds) for load in loads]
-    lines.append(("(batch)", sum(x.rows for x in loads), loads.seconds))
+    lines.append((BATCH, sum(x.rows for x in loads), loads.seconds))
     return spark.createDataFrame(lines, "table string, rows bigint, seconds double")
 
 
+def record_loads(spark: SparkSession, loads: Batch, path: str) -> Batch:
+    """Append the loads of a batch to the table of loads at ``path``: ``batch, table, rows, seconds, ended``; see :func:`read_loads`."""
+    batch, ended = uuid.uuid4().hex, datetime.datetime.now(datetime.UTC)
+    lines = [(batch, load.table, load.rows, load.seconds, ended) for load in loads]
+    lines.append((batch, BATCH, sum(x.rows for x in loads), loads.seconds, ended))
+    spark.createDataFrame(lines, LOADS).coalesce(1).write.mode("append").parquet(path)
+    return loads
+
+
+def read_loads(spark: SparkSession, path: str) -> DataFrame:
+    """Every load ever recorded at ``path``; a line named ``(batch)`` for each batch as a whole."""
+    return spark.read.schema(LOADS).parquet(path)
+
+
 def row_counts(tables: Mapping[str, DataFrame], prefix: str = "") -> DataFrame:
     """Rows per table, by table name; ``prefix`` names the layer."""
     counts = (

@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierloom.plans import checks, cleanse, reports, star
-from tierloom.plans.refresh import build_star, cleanse_all
+from tierloom.plans.refresh import build_star, cleanse_all, read_cleansed, store_star
 from tierloom.session import new_table_path
-from tierloom.sources.tables import load_all, row_counts, side_by_side, write_refresh
+from tierloom.sources.landing import REJECTED
+from tierloom.sources.tables import BATCH, load_all, read_loads, side_by_side, write_refresh
+from tierloom.sources.versions import HELD_BACK, PASSED, publish
 from workload.extracts import landed
 from workload.oracle import suite_sql, with_tables
 from workload.registry import AS_OF, query
@@ -61,9 +63,19 @@ def refreshed(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The cleansed tables as the refresh stores them, with its gates and load time, from landed tables."""
     layers, path = Layers(spark, folder), new_table_path(spark, "layers")
 
-    load_all({name: partial(lambda n: write_refresh(layers.landed(n), f"{path}/landed/{n}"), name) for name in CLEANSED})
+    land_tables(layers, f"{path}/landed")
     cleanse_all(spark, f"{path}/landed", f"{path}/cleansed", AS_OF, AUDIT_TIME)
-    return {name: spark.read.parquet(f"{path}/cleansed/{name}") for name in CLEANSED}
+    return {name: read_cleansed(spark, f"{path}/cleansed", name) for name in CLEANSED}
+
+
+def land_tables(layers: Layers, path: str) -> None:
+    """The landed tables, published as the landing does it; nothing is held back, as no line misfits."""
+
+    def load(name: str) -> int:
+        rows = layers.landed(name).withColumn(REJECTED, F.lit(None).cast("string"))
+        return publish(rows, f"{path}/{name}", outcomes={PASSED: F.col(REJECTED).isNull(), HELD_BACK: F.col(REJECTED).isNotNull()}).rows
+
+    load_all({name: partial(load, name) for name in CLEANSED})
 
 
 _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
@@ -171,9 +183,17 @@ def dq_suite_star(spark, folder):
     ),
 )
 def all_row_counts(spark, folder):
-    cleansed = refreshed(spark, folder)
-    counts = row_counts(cleansed, checks.CLEANSED_PREFIX)
-    return counts.unionByName(row_counts(build_star(cleansed, AS_OF), checks.STAR_PREFIX))
+    """Rows as they were counted by the loads of both layers; the result reads the table of loads alone."""
+    path = new_table_path(spark, "layers")
+    land_tables(Layers(spark, folder), f"{path}/landed")
+    cleanse_all(spark, f"{path}/landed", f"{path}/cleansed", AS_OF, AUDIT_TIME, log=f"{path}/loads/cleansed")
+    star_tables = build_star({name: read_cleansed(spark, f"{path}/cleansed", name) for name in CLEANSED}, AS_OF)
+    store_star(star_tables, f"{path}/star", log=f"{path}/loads/star")
+    counts = [
+        read_loads(spark, f"{path}/loads/{layer}").where(F.col("table") != BATCH).select(F.concat(F.lit(prefix), "table").alias("table_name"), F.col("rows").alias("row_count"))
+        for layer, prefix in (("cleansed", checks.CLEANSED_PREFIX), ("star", checks.STAR_PREFIX))
+    ]
+    return counts[0].unionByName(counts[1])
 
 
 def _rate(column: str) -> str:
