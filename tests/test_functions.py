@@ -28,9 +28,13 @@ TEXT_CASES = {
         [12.5, None, None, None, None, 7.0, None, 8.0, None, None, None, float("1" * 60)],
     ),
     "rounded quantity": (
-        lambda: numbers.round_int(col("x")),
-        ["2.5", "-2.5", "3.4", "1.0", "x", "1e30", None],
-        [3, -3, 3, 1, None, None, None],
+        lambda: numbers.round_long(col("x")),
+        ["2.5", "-2.5", "3.4", "1.0", "x", "1e30", None, "3000000000", "9007199254740993", "2999999999.5"],
+        [3, -3, 3, 1, None, None, None, 3000000000, 9007199254740993, 3000000000],
+    ),
+    "numbers that do not fit": (
+        lambda: numbers.misfit(col("x"), numbers.safe_long(col("x"))),
+        ["7", "9223372036854775808", "1.5", "x", "", None], [None, "9223372036854775808", None, None, None, None],
     ),
     "budget": (
         lambda: numbers.absolute_amount(col("x")), ["", "-50.5", "10", "12d", "NaN", None],

@@ -36,9 +36,14 @@ def floor_at(c: Column, least: int) -> Column:
     return F.when(c < least, F.lit(least)).otherwise(c)
 
 
-def round_int(c: Column) -> Column:
-    """Number text rounded to the nearest whole number, halves away from zero."""
-    return F.round(safe_double(c), 0).try_cast("int")
+def round_long(c: Column) -> Column:
+    """Number text rounded to the nearest whole number of 64 bits, halves away from zero; whole numbers are taken as they are."""
+    return F.coalesce(safe_long(c), F.round(safe_double(c), 0).try_cast("bigint"))
+
+
+def misfit(c: Column, value: Column, pattern: str = INTEGER_PATTERN) -> Column:
+    """The text of a number that ``pattern`` can read but ``value``, made of ``c``, could not hold."""
+    return F.when(value.isNull() & c.rlike(pattern), c)
 
 
 def parse_money(c: Column) -> Column:

@@ -1,8 +1,8 @@
 """Data-quality rules and reports.
 
 A rule is data: the table it looks at and what breaks it. A clean table has issue count 0 everywhere.
-All row rules of one table are counted in a single pass over it; only uniqueness rules and rules
-about another table need a shuffle, and each of those reads just its key columns.
+All row rules of one table are counted in a single pass over it. All uniqueness rules of a suite share one exchange
+of keys, for which each table is read once; rules about another table shuffle their key columns.
 """
 
 from __future__ import annotations
@@ -11,9 +11,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierloom.functions import collation
+
 
 @dataclass(frozen=True)
 class RowRule:
@@ -26,11 +28,13 @@ class RowRule:
 
 @dataclass(frozen=True)
 class UniqueRule:
-    """Every combination of ``keys`` that occurs more than once is one issue."""
+    """Every combination of ``keys`` that occurs more than once is one issue; with ``folded``, texts that differ only
+    in case or in blanks at the end are one."""
 
     table: str
     name: str
     keys: tuple[str, ...]
+    folded: bool = False
 
 
 @dataclass(frozen=True)
@@ -62,9 +66,9 @@ def not_blank(table: str, column: str, name: str) -> RowRule:
     return RowRule(table, name, f"{column} IS NULL OR trim({column}) = ''")
 
 
-def unique(table: str, *keys: str) -> UniqueRule:
+def unique(table: str, *keys: str, folded: bool = False) -> UniqueRule:
     label = keys[0] if len(keys) == 1 else "(" + ", ".join(keys) + ")"
-    return UniqueRule(table, f"duplicate {label}", keys)
+    return UniqueRule(table, f"duplicate {label}", keys, folded)
 
 
 def in_set(table: str, column: str, values: Sequence, name: str | None = None) -> RowRule:
@@ -129,16 +133,42 @@ def _row_issues(df: DataFrame, rules: Sequence[RowRule], label) -> DataFrame:
     return counted.select(F.inline(lines))
 
 
-def _named_count(df: DataFrame, name: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("issue_count")).select(
-        F.lit(name).alias("check_name"), "issue_count"
-    )
+#: Keys of more bytes go by their SHA-256 digest.
+_LONG_KEY = 32
+
+
+def _key_text(df: DataFrame, keys: Sequence[str], folded: bool = False) -> Column:
+    """A key as one text that no other key has: each part with its length, or a mark for NULL."""
+    kinds = dict(df.dtypes)
+
+    def part(name: str) -> Column:
+        value = F.col(name) + F.lit(0.0) if kinds.get(name) in ("double", "float") else F.col(name)  # -0.0 is 0.0
+        text = collation.folded(value.cast("string")) if folded else value.cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    whole = F.concat(*(part(k) for k in keys))
+    return F.when(F.octet_length(whole) > _LONG_KEY, F.sha2(whole.cast("binary"), 256)).otherwise(whole)
 
 
-def _repeated_keys(df: DataFrame, rule: UniqueRule, label) -> DataFrame:
-    """Partial counts per key are combined before the shuffle, so a hot key is one row per task."""
-    counts = df.groupBy(*rule.keys).agg(F.count(F.lit(1)).alias("_n"))
-    return _named_count(counts.filter(F.col("_n") > 1), _report(rule.name, label(rule.table)))
+def _repeated_keys(tables: Mapping[str, DataFrame], rules: Sequence[UniqueRule], label) -> DataFrame:
+    """Issues of all uniqueness rules from one exchange of (rule, key) entries; each table is read once for all its rules.
+
+    Entries are counted before the shuffle, so a hot key is one row per task. Short keys stand for themselves, long ones for
+    their digest, so that wide keys do not make wide rows.
+    """
+    parts = []
+    for table in dict.fromkeys(rule.table for rule in rules):
+        entries = (
+            F.struct(F.lit(i).alias("rule"), _key_text(tables[table], rule.keys, rule.folded).alias("key")) for i, rule in enumerate(rules) if rule.table == table
+        )
+        parts.append(tables[table].select(F.inline(F.array(*entries))))
+    repeated = reduce(DataFrame.unionAll, parts).groupBy("rule", "key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    counted = repeated.agg(*(F.count_if(F.col("rule") == i).alias(f"c{i}") for i in range(len(rules))))
+    lines = (
+        F.struct(F.lit(_report(rule.name, label(rule.table))).alias("check_name"), F.col(f"c{i}").alias("issue_count"))
+        for i, rule in enumerate(rules)
+    )
+    return counted.select(F.inline(F.array(*lines)))
 
 
 def _reference_issues(tables, rule: ReferenceRule, label) -> DataFrame:
@@ -172,8 +202,10 @@ def run_suite(
         row_rules = [r for r in own if isinstance(r, RowRule)]
         if row_rules:
             parts.append(_row_issues(tables[table], row_rules, label))
-        parts += [_repeated_keys(tables[table], r, label) for r in own if isinstance(r, UniqueRule)]
         parts += [_reference_issues(tables, r, label) for r in own if isinstance(r, ReferenceRule)]
+    unique_rules = [r for r in rules if isinstance(r, UniqueRule)]
+    if unique_rules:
+        parts.append(_repeated_keys(tables, unique_rules, label))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -200,36 +232,53 @@ def match_rates(fact: DataFrame, total: str, resolved: Mapping[str, str]) -> Dat
     )
 
 
+def _pairs(df: DataFrame, columns: Sequence[str], first: int = 0) -> DataFrame:
+    """A row for each row and column: the column's number, counted from ``first``, and its value as text."""
+    pairs = (
+        F.struct(F.lit(i).alias("_column"), F.col(c).cast("string").alias("value")) for i, c in enumerate(columns, first)
+    )
+    return df.select(F.inline(F.array(*pairs)))
+
+
 def column_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column_name``, ``value`` (as text) and ``row_count`` of every value in the columns.
 
     Columns are laid out as (column, value) pairs, counted per pair and combined before the shuffle.
     This spreads by value, not by column, and is one exchange however many columns there are.
     """
-    pairs = F.array(
-        *(
-            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-            for c in columns
-        )
-    )
-    return (
-        df.select(F.inline(pairs))
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("row_count"))
-    )
+    counts = _pairs(df, columns).groupBy("_column", "value").agg(F.count(F.lit(1)).alias("row_count"))
+    return counts.select(F.element_at(F.array(*map(F.lit, columns)), F.col("_column") + 1).alias("column_name"), "value", "row_count")
 
 
 def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: rows, NULLs, blanks, distinct values and rows that repeat another one's value."""
+    return column_profiles({"": df}, {"": columns}).drop("table_name")
+
+
+def column_profiles(tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """``table_name`` and the profile of every column, all tables in one exchange of (column, value) pairs.
+
+    Pairs are counted before they are shuffled, and the pairs of a column are summed up where they are: the second exchange
+    has a row for each column and task. See :mod:`tierloom.operators.sketches` for a profile that shuffles no values.
+    """
+    named = [(table, column) for table, df in tables.items() for column in (columns or {}).get(table, df.columns)]
+    parts, first = [], 0
+    for table, df in tables.items():
+        own = [c for t, c in named if t == table]
+        parts.append(_pairs(df, own, first))
+        first += len(own)
 
     def rows_where(condition, rows):
         return F.coalesce(F.sum(F.when(condition, rows)), F.lit(0))
 
     value, rows = F.col("value"), F.col("row_count")
-    return column_values(df, columns).groupBy("column_name").agg(
+    counts = reduce(DataFrame.unionAll, parts).groupBy("_column", "value").agg(F.count(F.lit(1)).alias("row_count"))
+    profile = counts.groupBy("_column").agg(
         F.sum(rows).alias("row_count"),
         rows_where(value.isNull(), rows).alias("null_count"),
         rows_where(F.trim(value) == "", rows).alias("blank_count"),
         F.count(value).alias("distinct_count"),
         rows_where(value.isNotNull(), rows - 1).alias("repeated_count"),
     )
+    names = F.array(*(F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name")) for t, c in named))
+    return profile.select(F.element_at(names, F.col("_column") + 1).alias("_name"), "*").select("_name.*", *profile.columns[1:])

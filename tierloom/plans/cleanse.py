@@ -7,7 +7,7 @@ computes its columns in a single ``select``, so no repair sees another's result
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierloom.functions import dates, flags, labels, numbers, text
@@ -18,6 +18,8 @@ from tierloom.operators.references import exclude_orphans, flag_missing_ref
 from tierloom.sources.landing import FILE_ORDER
 
 col = F.col
+#: Column of numbers that could not be held.
+MISFIT = "_misfit"
 
 
 def clean_customers(landed: DataFrame) -> DataFrame:
@@ -173,17 +175,25 @@ def clean_vendors(landed: DataFrame) -> DataFrame:
     )
 
 
-def clean_inventory(landed: DataFrame, products: DataFrame) -> DataFrame:
+def _first_misfit(values: dict[str, Column], pattern: str = numbers.INTEGER_PATTERN) -> Column:
+    """``column: text`` of the first column whose number could not be held, of those that ``values`` were made of."""
+    found = (numbers.misfit(col(c), value, pattern) for c, value in values.items())
+    return F.coalesce(*(F.concat(F.lit(f"{c}: "), text) for c, text in zip(values, found)))
+
+
+def clean_inventory(landed: DataFrame, products: DataFrame, misfits: bool = False) -> DataFrame:
     """Latest snapshot per inventory id, among those of known products only: a snapshot of an unknown
     product is gone before the latest one is picked. ``products`` hold the known ids as ``prd_id``: cleansed
-    product versions or, as cleansing neither adds nor drops any, landed ones."""
+    product versions or, as cleansing neither adds nor drops any, landed ones. Stock and level have 64 bits; ``misfits`` adds
+    ``_misfit``, the first number of the row that has more."""
+    numbers_of = {c: numbers.safe_long(col(c)) for c in ("inv_stock_on_hand", "inv_reorder_level")}
     parsed = landed.select(
         "inv_id",
         numbers.safe_long(col("inv_prd_id")).alias("inv_prd_id"),
         text.upper_code(col("inv_wh_loc")).alias("inv_wh_loc"),
-        numbers.safe_int(col("inv_stock_on_hand")).alias("inv_stock_on_hand"),
-        numbers.safe_int(col("inv_reorder_level")).alias("inv_reorder_level"),
+        *(value.alias(c) for c, value in numbers_of.items()),
         dates.parse_date_multi(col("inv_snap_date")).alias("inv_snap_date"),
+        *([_first_misfit(numbers_of).alias(MISFIT)] if misfits else []),
     )
     floored = parsed.withColumn("inv_stock_on_hand", numbers.floor_at(col("inv_stock_on_hand"), 0))
     known = exclude_orphans(floored, "inv_prd_id", products, "prd_id")
@@ -195,19 +205,22 @@ def clean_inventory(landed: DataFrame, products: DataFrame) -> DataFrame:
         "inv_reorder_level",
         flags.flag_below(col("inv_stock_on_hand"), col("inv_reorder_level")).alias("below_reorder"),
         "inv_snap_date",
+        *([MISFIT] if misfits else []),
     )
 
 
-def clean_purchase_orders(landed: DataFrame, vendors: DataFrame) -> DataFrame:
+def clean_purchase_orders(landed: DataFrame, vendors: DataFrame, misfits: bool = False) -> DataFrame:
     """Latest record per purchase order, flagged where no vendor is known for it. ``vendors`` are
-    cleansed vendors."""
+    cleansed vendors. Quantities have 64 bits; ``misfits`` adds ``_misfit``, a quantity that has more."""
+    quantity = numbers.round_long(col("po_quantity_ordered"))
     parsed = landed.select(
         "po_number",
         text.blank_to_null(col("po_vnd_id")).alias("po_vnd_id"),
         numbers.safe_long(col("po_prd_id")).alias("po_prd_id"),
-        numbers.round_int(col("po_quantity_ordered")).alias("po_quantity_ordered"),
+        quantity.alias("po_quantity_ordered"),
         numbers.parse_money(col("po_unit_cost")).alias("po_unit_cost"),
         dates.parse_date_multi(col("po_order_date")).alias("po_order_date"),
+        *([_first_misfit({"po_quantity_ordered": quantity}, numbers.NUMBER_PATTERN).alias(MISFIT)] if misfits else []),
     )
     latest = latest_per_key(parsed, ["po_number"], "po_order_date")
     flagged = flag_missing_ref(latest, "po_vnd_id", vendors, "vnd_id", "flag_missing_vendor")
@@ -220,4 +233,5 @@ def clean_purchase_orders(landed: DataFrame, vendors: DataFrame) -> DataFrame:
         numbers.derived_total(col("po_quantity_ordered"), col("po_unit_cost")).alias("total_cost"),
         "po_order_date",
         "flag_missing_vendor",
+        *([MISFIT] if misfits else []),
     )

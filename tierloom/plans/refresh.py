@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierloom.plans import cleanse, star
+from tierloom.plans.cleanse import MISFIT
 from tierloom.sources.landing import (
     LANDING_FILES,
     LANDING_SCHEMAS,
@@ -22,6 +23,7 @@ from tierloom.sources.landing import (
 from tierloom.sources.tables import (
     REQUIRED_COLUMNS,
     Batch,
+    assert_absent,
     assert_required,
     complete,
     load_all,
@@ -55,10 +57,15 @@ def land(
 
 
 def read_landed(spark: SparkSession, landed: str, table: str, rejected: bool = False) -> DataFrame:
-    """The rows of a landed table, or with ``rejected`` the lines that did not fit, as ``_rejected_line``."""
-    if rejected:
-        return read_version(spark, f"{landed}/{table}", outcome=HELD_BACK)
-    return read_version(spark, f"{landed}/{table}", outcome=PASSED).drop(REJECTED)
+    """The rows of a landed table, or with ``rejected`` the lines that did not fit, as ``_rejected_line``. A table that was
+    published without outcomes holds nothing back."""
+    return _outcome(spark, f"{landed}/{table}", rejected) if rejected else _outcome(spark, f"{landed}/{table}", False).drop(REJECTED)
+
+
+def _outcome(spark: SparkSession, path: str, held_back: bool) -> DataFrame:
+    if current(spark, path).outcomes:
+        return read_version(spark, path, outcome=HELD_BACK if held_back else PASSED)
+    return read_version(spark, path).limit(0) if held_back else read_version(spark, path)
 
 
 def _cleansers(read: Callable[[str], DataFrame], clean: Callable[[str], DataFrame], as_of):
@@ -74,10 +81,10 @@ def _cleansers(read: Callable[[str], DataFrame], clean: Callable[[str], DataFram
         "erp_hr_hx19": lambda: cleanse.clean_employees(read("erp_hr_hx19")),
         "erp_vnd_z90": lambda: cleanse.clean_vendors(read("erp_vnd_z90")),
         "erp_inv_q4v1": lambda: cleanse.clean_inventory(
-            read("erp_inv_q4v1"), clean("crm_prd_info")
+            read("erp_inv_q4v1"), clean("crm_prd_info"), misfits=True
         ),
         "erp_po_ord44": lambda: cleanse.clean_purchase_orders(
-            read("erp_po_ord44"), clean("erp_vnd_z90")
+            read("erp_po_ord44"), clean("erp_vnd_z90"), misfits=True
         ),
     }
 
@@ -85,20 +92,23 @@ def _cleansers(read: Callable[[str], DataFrame], clean: Callable[[str], DataFram
 def cleanse_all(
     spark: SparkSession, landed: str, cleansed: str, as_of=None, audit_time=None, hold_back: bool = False, log: str | None = None
 ) -> Batch:
-    """Cleanse the tables landed under ``landed`` into ``cleansed``, each with its load time. A NULL in a required column
-    fails the load or, with ``hold_back``, keeps that row out of the table, in the same write; see :func:`read_cleansed`. A table
-    that is checked against another one waits for that one only. ``log`` is the table the loads are recorded in."""
+    """Cleanse the tables landed under ``landed`` into ``cleansed``, each with its load time. A NULL in a required column,
+    and a number that 64 bits cannot hold, fail the load or, with ``hold_back``, keep that row out of the table, in the same write;
+    see :func:`read_cleansed`. A table that is checked against another one waits for that one only. ``log`` is the table the
+    loads are recorded in."""
     plans = _cleansers(
         lambda table: read_landed(spark, landed, table), lambda table: read_cleansed(spark, cleansed, table), as_of
     )
 
     def load(table: str) -> int:
-        required, path = REQUIRED_COLUMNS.get(table, ()), f"{cleansed}/{table}"
+        required, path, rows = REQUIRED_COLUMNS.get(table, ()), f"{cleansed}/{table}", plans[table]()
+        checked = MISFIT in rows.columns
         if hold_back:
-            whole = complete(required)
-            rows = with_audit(plans[table](), audit_time)
-            return publish(rows, path, outcomes={PASSED: whole, HELD_BACK: ~whole}).outcomes[PASSED]
-        return publish(with_audit(assert_required(plans[table](), required), audit_time), path).rows
+            whole = complete(required) & F.col(MISFIT).isNull() if checked else complete(required)
+            return publish(with_audit(rows, audit_time), path, outcomes={PASSED: whole, HELD_BACK: ~whole}).outcomes[PASSED]
+        if checked:
+            rows = assert_absent(rows, MISFIT)
+        return publish(with_audit(assert_required(rows, required), audit_time), path).rows
 
     batch = load_all({t: partial(load, t) for t in plans}, after=_CHECKED_AGAINST)
     return batch if log is None else record_loads(spark, batch, log)
@@ -106,11 +116,8 @@ def cleanse_all(
 
 def read_cleansed(spark: SparkSession, cleansed: str, table: str, held_back: bool = False) -> DataFrame:
     """The newest version of a cleansed table, or the rows that its gate held back."""
-    path = f"{cleansed}/{table}"
-    split = bool(current(spark, path).outcomes)
-    if held_back:
-        return read_version(spark, path, outcome=HELD_BACK) if split else read_version(spark, path).limit(0)
-    return read_version(spark, path, outcome=PASSED if split else None)
+    rows = _outcome(spark, f"{cleansed}/{table}", held_back)
+    return rows if held_back else rows.drop(MISFIT)
 
 
 def store_star(star: Mapping[str, DataFrame], path: str, log: str | None = None) -> Batch:

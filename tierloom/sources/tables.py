@@ -90,6 +90,14 @@ def assert_required(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return checked
 
 
+def assert_absent(df: DataFrame, name: str) -> DataFrame:
+    """The same rows without the column ``name``, failing the job at the first value in it."""
+    first = df.columns[0]
+    message = F.concat(F.lit(f"value in {name}: "), F.col(name))
+    guarded = F.when(F.col(name).isNotNull(), F.raise_error(message)).otherwise(F.col(first)).cast(df.schema[first].dataType)
+    return df.withColumn(first, guarded).drop(name)
+
+
 def _write_counted(
     df: DataFrame, columns: Sequence[str] | None, write: Callable[[DataFrameWriter], None]
 ) -> int:

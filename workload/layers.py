@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 from tierloom.plans import checks, cleanse, reports, star
 from tierloom.plans.refresh import build_star, cleanse_all, read_cleansed, store_star
 from tierloom.session import new_table_path
-from tierloom.sources.landing import REJECTED
 from tierloom.sources.tables import BATCH, load_all, read_loads, side_by_side, write_refresh
-from tierloom.sources.versions import HELD_BACK, PASSED, publish
+from tierloom.sources.versions import publish
 from workload.extracts import landed
 from workload.oracle import suite_sql, with_tables
 from workload.registry import AS_OF, query
@@ -69,13 +68,8 @@ def refreshed(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def land_tables(layers: Layers, path: str) -> None:
-    """The landed tables, published as the landing does it; nothing is held back, as no line misfits."""
-
-    def load(name: str) -> int:
-        rows = layers.landed(name).withColumn(REJECTED, F.lit(None).cast("string"))
-        return publish(rows, f"{path}/{name}", outcomes={PASSED: F.col(REJECTED).isNull(), HELD_BACK: F.col(REJECTED).isNotNull()}).rows
-
-    load_all({name: partial(load, name) for name in CLEANSED})
+    """The landed tables, published; no line misfits here, so that nothing is split off."""
+    load_all({name: partial(lambda n: publish(layers.landed(n), f"{path}/{n}").rows, name) for name in CLEANSED})
 
 
 _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {

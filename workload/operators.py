@@ -8,13 +8,13 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.functions import dates, flags, labels, numbers, text
+from tierloom.functions import collation, dates, flags, labels, numbers, text
 from tierloom.functions import fixed_values as fixed
-from tierloom.operators import quality
+from tierloom.operators import quality, sketches
 from tierloom.operators.dedup import first_per_key, latest_per_key
 from tierloom.operators.history import active_version, validity_intervals
 from tierloom.operators.keys import surrogate_key
-from tierloom.operators.references import exclude_orphans, flag_missing_ref
+from tierloom.operators.references import exclude_orphans, flag_missing_ref, resolve
 from tierloom.session import new_table_path
 from tierloom.sources.landing import LANDING_SCHEMAS, REJECTED, read_landing, split_rejected
 from tierloom.sources.tables import (
@@ -508,12 +508,12 @@ QUANTITY_TEXT = (
 
 @query(
     "round_quantity",
-    f"SELECT l_orderkey, l_linenumber, CAST(round({sql_double('raw')}) AS INTEGER) AS quantity "
+    f"SELECT l_orderkey, l_linenumber, CAST(round({sql_double('raw')}) AS BIGINT) AS quantity "
     f"FROM (SELECT *, {QUANTITY_TEXT} FROM lineitem)",
 )
 def round_quantity(spark, folder):
     return dirty(spark, folder, "lineitem", "l_orderkey", "l_linenumber", QUANTITY_TEXT).select(
-        "l_orderkey", "l_linenumber", numbers.round_int(col("raw")).alias("quantity")
+        "l_orderkey", "l_linenumber", numbers.round_long(col("raw")).alias("quantity")
     )
 
 
@@ -675,6 +675,55 @@ def active_orders(spark, folder):
     return active_version(versions_of_orders(spark, folder))
 
 
+# --- keys under the collation of the source dialect --------------------------------------------
+
+SPELLED_TYPE = "CASE p_partkey % 3 WHEN 0 THEN lower(p_type) || '  ' WHEN 1 THEN upper(p_type) ELSE p_type END AS kind"
+
+
+@query(
+    "collated_dedup",
+    f"SELECT * FROM (SELECT p_partkey, p_retailprice, {SPELLED_TYPE} FROM part) "
+    "QUALIFY row_number() OVER (PARTITION BY lower(rtrim(kind)) ORDER BY p_retailprice DESC, p_partkey) = 1",
+)
+def dearest_of_each_type(spark, folder):
+    """One part for each type, however it is spelled."""
+    parts = dirty(spark, folder, "part", "p_partkey", "p_retailprice", SPELLED_TYPE)
+    return latest_per_key(parts, ["kind"], "p_retailprice", ["p_partkey"], collation=collation.SOURCE)
+
+
+SPELLED_NATION = "CASE c_custkey % 3 WHEN 0 THEN lower(n_name) || ' ' WHEN 1 THEN n_name ELSE lower(n_name) END AS country"
+CUSTOMERS_WITH_NATIONS = "customer JOIN nation ON c_nationkey = n_nationkey"
+
+
+@query(
+    "collated_references",
+    f"SELECT c.*, n.n_regionkey, CASE WHEN k.n_name IS NULL THEN 1 ELSE 0 END AS missing FROM (SELECT c_custkey, {SPELLED_NATION} FROM {CUSTOMERS_WITH_NATIONS}) AS c "
+    "LEFT JOIN nation AS n ON lower(rtrim(c.country)) = lower(rtrim(n.n_name)) "
+    "LEFT JOIN (SELECT n_name FROM nation WHERE n_regionkey > 1) AS k ON lower(rtrim(c.country)) = lower(rtrim(k.n_name)) "
+    "WHERE lower(rtrim(c.country)) IN (SELECT lower(rtrim(n_name)) FROM nation WHERE n_regionkey > 0)",
+)
+def customers_by_spelled_nation(spark, folder):
+    """Customers whose country is spelled in several ways, resolved, flagged and filtered by the countries' names."""
+    nations = table(spark, folder, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    keyed = dirty(spark, folder, "customer", "c_custkey", "c_nationkey").join(nations, col("c_nationkey") == col("n_nationkey"))
+    customers = keyed.selectExpr("c_custkey", SPELLED_NATION)
+    known = exclude_orphans(customers, "country", nations.where("n_regionkey > 0"), "n_name", collation.SOURCE)
+    flagged = flag_missing_ref(known, "country", nations.where("n_regionkey > 1"), "n_name", "missing", collation.SOURCE)
+    names = nations.select("n_name", "n_regionkey")
+    return resolve(flagged, "country", names, "n_name", collation.SOURCE).select("c_custkey", "country", "n_regionkey", "missing")
+
+
+@query(
+    "collated_unique",
+    f"SELECT 'parts - duplicate kind' AS check_name, count(*) AS issue_count FROM (SELECT lower(rtrim(kind)) FROM (SELECT {SPELLED_TYPE} FROM part) GROUP BY 1 HAVING count(*) > 1) "
+    f"UNION ALL SELECT 'parts - duplicate (kind, p_size)', count(*) FROM (SELECT kind, p_size FROM (SELECT p_size, {SPELLED_TYPE} FROM part) GROUP BY ALL HAVING count(*) > 1)",
+)
+def repeated_types(spark, folder):
+    """A key that is unique only if spelling counts, and one compared as it is, from one reading of the table."""
+    parts = dirty(spark, folder, "part", "p_size", SPELLED_TYPE)
+    return quality.run_suite({"parts": parts}, [quality.unique("parts", "kind", folded=True), quality.unique("parts", "kind", "p_size")])
+
+
 # --- references and keys -----------------------------------------------------------------------
 
 
@@ -793,11 +842,57 @@ _PROFILE_SQL = " UNION ALL ".join(
 @query("column_profile", with_tables(_PROFILE_SQL))
 def profile_of_extracts(spark, folder):
     """Every column of every extract."""
-    profiles = [
-        quality.column_profile(landed(spark, folder, extract), schema.names).select(F.lit(extract).alias("extract"), "*")
-        for extract, schema in LANDING_SCHEMAS.items()
-    ]
-    return reduce(DataFrame.unionByName, profiles)
+    extracts = {extract: landed(spark, folder, extract).select(*schema.names) for extract, schema in LANDING_SCHEMAS.items()}
+    return quality.column_profiles(extracts).withColumnRenamed("table_name", "extract")
+
+
+_SKETCHED = ("crm_cust_info", "crm_sales_details", "crm_supp_tkts")
+_SKETCH_SQL = " UNION ALL ".join(
+    f"SELECT '{extract}' AS extract, '{c}' AS column_name, count(*) AS row_count, count(*) - count(v) AS null_count, "
+    "count(*) FILTER (WHERE trim(v) = '') AS blank_count, TRUE AS estimate_is_near, "
+    f"CASE WHEN count(DISTINCT v) BETWEEN 1 AND 100 THEN (SELECT max(n) FROM (SELECT count({c}) AS n FROM landed_{extract} GROUP BY {c})) END AS most "
+    f"FROM (SELECT CAST({c} AS VARCHAR) AS v FROM landed_{extract})"
+    for extract in _SKETCHED for c in LANDING_SCHEMAS[extract].names
+)
+
+
+@query("column_sketches", with_tables(_SKETCH_SQL))
+def sketches_of_extracts(spark, folder):
+    """Sketches of the two halves of three extracts, merged: whether each estimate is within four standard errors of the
+    exact number, and how often the most frequent value is there, for columns of few values."""
+    parts = []
+    for extract in _SKETCHED:
+        names = LANDING_SCHEMAS[extract].names
+        rows = landed(spark, folder, extract).select(*names)
+        halves = [rows.where(F.pmod(F.xxhash64(*names), F.lit(2)) == k) for k in (0, 1)]
+        sketched = sketches.sketched_profile(sketches.merged_sketches([sketches.column_sketches(h, names) for h in halves]), 1)
+        exact = quality.column_profile(rows, names).select("column_name", "distinct_count")
+        error = F.abs(col("distinct_estimate") - col("distinct_count")) / F.greatest(col("distinct_count"), F.lit(1))
+        parts.append(
+            sketched.join(exact, "column_name").select(
+                F.lit(extract).alias("extract"), "column_name", "row_count", "null_count", "blank_count",
+                (error <= 4 * sketches.relative_error()).alias("estimate_is_near"),
+                F.when(col("distinct_count").between(1, 100), F.get("frequent", F.lit(0))["count"]).alias("most"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "adaptive_profile",
+    with_tables(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count(v) AS null_count, "
+            "count(*) FILTER (WHERE trim(v) = '') AS blank_count, count(DISTINCT v) AS distinct_count, "
+            f"count(v) - count(DISTINCT v) AS repeated_count, TRUE AS is_exact FROM (SELECT CAST({c} AS VARCHAR) AS v FROM landed_crm_supp_tkts)"
+            for c in ("tkt_issue_cat", "tkt_status", "tkt_id", "tkt_emp_id")
+        )
+    ),
+)
+def profile_of_tickets(spark, folder):
+    """Tickets by sketch first: few-valued columns and the one asked for are exact."""
+    tickets = landed(spark, folder, "crm_supp_tkts").select("tkt_issue_cat", "tkt_status", "tkt_id", "tkt_emp_id")
+    return sketches.adaptive_profile(tickets, tickets.columns, small=2000, exact=["tkt_id"])
 
 
 @query(

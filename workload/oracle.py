@@ -170,8 +170,8 @@ SELECT inv_id, inv_prd_id, inv_wh_loc, inv_stock_on_hand, inv_reorder_level,
        inv_snap_date
 FROM (SELECT inv_id, {sql_long('inv_prd_id')} AS inv_prd_id, upper(trim(inv_wh_loc)) AS inv_wh_loc,
              CASE WHEN left(trim(inv_stock_on_hand), 1) = '-' THEN 0
-                  ELSE {sql_int('inv_stock_on_hand')} END AS inv_stock_on_hand,
-             {sql_int('inv_reorder_level')} AS inv_reorder_level,
+                  ELSE {sql_long('inv_stock_on_hand')} END AS inv_stock_on_hand,
+             {sql_long('inv_reorder_level')} AS inv_reorder_level,
              {sql_date('inv_snap_date')} AS inv_snap_date
       FROM landed_erp_inv_q4v1)
 WHERE inv_prd_id IN (SELECT prd_id FROM crm_prd_info)
@@ -185,7 +185,7 @@ SELECT po_number, po_vnd_id, po_prd_id, po_quantity_ordered, po_unit_cost,
            SELECT 1 FROM erp_vnd_z90 AS v WHERE v.vnd_id = p.po_vnd_id) AS INTEGER)
            AS flag_missing_vendor
 FROM (SELECT po_number, nullif(trim(po_vnd_id), '') AS po_vnd_id, {sql_long('po_prd_id')} AS po_prd_id,
-             CAST(round({sql_double('po_quantity_ordered')}) AS INTEGER) AS po_quantity_ordered,
+             CAST(round({sql_double('po_quantity_ordered')}) AS BIGINT) AS po_quantity_ordered,
              {sql_money('po_unit_cost')} AS po_unit_cost,
              {sql_date('po_order_date')} AS po_order_date
       FROM landed_erp_po_ord44) AS p
