@@ -278,8 +278,9 @@ def test_weights_are_updated_once_for_2048_tokens(monkeypatch):
     monkeypatch.setattr(lm.Trainer, "step", lambda self, token, before, second: sizes.append(len(token)))
     monkeypatch.setattr(pyspark.TaskContext, "get", lambda: types.SimpleNamespace(partitionId=lambda: 0))
     noise = np.full(lm.CLASSES, 1 / lm.CLASSES)
-    run = lm._trained(lm.started(noise).flat(), noise, [b"w"], 0)
-    list(run(iter([pa.RecordBatch.from_arrays([pa.array(["w " * 8191])], ["text"])])))
+    run = lm._trained(lm.started(noise).flat(), noise, 0)
+    classes = np.array([1] * 8191 + [lm.END], np.int16).tobytes()
+    list(run(iter([pa.RecordBatch.from_arrays([pa.array([classes], pa.binary())], ["classes"])])))
     assert sizes == [2048] * 4
 
 

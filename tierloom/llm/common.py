@@ -76,11 +76,16 @@ def utf8_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in a row, and the n + 1 offsets of the texts in them. NULL is empty."""
     import pyarrow.compute as pc
 
-    filled = pc.fill_null(texts.cast(pa.large_string()), "")
-    offsets = np.frombuffer(filled.buffers()[1], dtype=np.int64)[filled.offset : filled.offset + len(filled) + 1]
-    if len(filled) == 0 or filled.buffers()[2] is None:
-        return np.zeros(0, np.uint8), np.zeros(len(filled) + 1, np.int64)
-    data = np.frombuffer(filled.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]]
+    return binary_bytes(pc.fill_null(texts.cast(pa.large_string()), ""))
+
+
+def binary_bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all values in a row, none of them NULL, and the n + 1 offsets of the values in them."""
+    wide = values if pa.types.is_large_string(values.type) else values.cast(pa.large_binary())
+    offsets = np.frombuffer(wide.buffers()[1], dtype=np.int64)[wide.offset : wide.offset + len(wide) + 1]
+    if len(wide) == 0 or wide.buffers()[2] is None:
+        return np.zeros(0, np.uint8), np.zeros(len(wide) + 1, np.int64)
+    data = np.frombuffer(wide.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]]
     return data, offsets - offsets[0]
 
 

@@ -16,10 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierloom.llm.common import slices_by_bytes, stored
+from tierloom.llm.common import binary_bytes, slices_by_bytes, stored
 
 #: Classes: the text's end, then words of their own, then word endings. Bytes of an ending.
 OWN, ENDINGS, ENDING = 895, 128, 3
@@ -30,6 +30,8 @@ FREQUENT, FREQUENT_BYTES = 131_072, 32
 #: Vector length, tokens of a step, noise classes of a step, step size, passes over the training texts.
 SIZE, STEP, NOISE, RATE, ROUNDS = 24, 2048, 64, 0.1, 2
 SEED = 3
+#: Bytes of classes that are mixed in training and scored together, two for each token.
+SLICE = 1 << 19
 #: Bins of the counts' histogram in each doubling.
 BINS = 64
 
@@ -196,26 +198,84 @@ class Trainer:
         getattr(self.w, name)[rows] += np.float32(RATE) * gradient / np.sqrt(squares[rows])
 
 
-def _trained(flat: np.ndarray, noise: np.ndarray, own: list[bytes], round_: int):
+def _encoded(counts_unit: int, ends: int, inside: np.ndarray, frequent: list[tuple[bytes, int]]):
+    """The classes of each text's tokens, what their counts add to both scores, and the words whose counts are elsewhere."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, endings = {w: i + 1 for i, (w, _) in enumerate(frequent)}, _Endings()
+        n = np.array([ends, *(c for _, c in frequent)], np.float64)
+        classes = np.array([END, *(1 + i if i < OWN else ending(w) for i, (w, _) in enumerate(frequent))], np.int16)
+        base = np.log10((n + 1) / counts_unit)
+        within = np.where(classes > OWN, np.log10((n + 1) / (inside.sum(axis=1)[classes] + 1)), 0.0)
+        seen = n > 0
+        for batch in batches:
+            for start, stop in slices_by_bytes(batch.column(3)):
+                token: list[int] = []
+                place: list[int] = []
+                lengths, rare = [], []
+                for text in batch.column(3).slice(start, stop - start):
+                    words = _tokens(text.as_py())
+                    ids = [known.get(w, -1) for w in words]
+                    others = [w for w, i in zip(words, ids) if i < 0]
+                    place += ids
+                    place.append(0)
+                    token += [endings[w[-ENDING:]] for w in others]
+                    lengths.append(len(words) + 1)
+                    rare.append(list(Counter(others).items()))
+                at = np.array(place)
+                has, at = at >= 0, np.maximum(at, 0)
+                ordered = classes[at]
+                ordered[~has] = token
+                size = np.array(lengths)
+                firsts = np.cumsum(size) - size
+                bounds = pa.py_buffer((np.concatenate([[0], np.cumsum(size)]) * ordered.itemsize).astype(np.int32).tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(c.slice(start, stop - start) for c in batch.columns[:3]),
+                        pa.array(size, pa.int64()),
+                        pa.array(np.add.reduceat(has & seen[at], firsts, dtype=np.int64)),
+                        pa.array(np.add.reduceat(np.where(has, base[at], 0), firsts)),
+                        pa.array(np.add.reduceat(np.where(has, within[at], 0), firsts)),
+                        pa.Array.from_buffers(pa.binary(), len(size), [None, bounds, pa.py_buffer(ordered.tobytes())]),
+                        _pairs(rare),
+                    ],
+                    ["id", "key", "trains", "n_tokens", "n_known", "base", "within", "classes", "rare"],
+                )
+
+    return run
+
+
+def encoded(docs: DataFrame, counts: Counts, id_column: str = "doc_id", text_column: str = "text", trains: Column | None = None) -> DataFrame:
+    """Every text of ``docs`` as classes of tokens, split and looked up this once; stored. Training takes the rows where ``trains``, by default all."""
+    rows = docs.select(
+        F.col(id_column).cast("long").alias("id"), F.xxhash64(id_column, text_column).alias("key"),
+        (F.lit(True) if trains is None else trains).alias("trains"), F.col(text_column).alias("text"),
+    )
+    schema = (
+        "id long, key long, trains boolean, n_tokens long, n_known long, base double, within double, classes binary, "
+        "rare array<struct<word: binary, times: long>>"
+    )
+    return stored(rows.mapInArrow(_encoded(counts.unit(), counts.ends, counts.inside, counts.frequent), schema), "encoded")
+
+
+def _classes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The classes of all texts in a row, and how many each has."""
+    data, bounds = binary_bytes(column)
+    return data.view(np.int16), np.diff(bounds) // 2
+
+
+def _trained(flat: np.ndarray, noise: np.ndarray, round_: int):
     """Train on the texts of a task; hand on the sum of what each text's tokens vote for, one row for each vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        known, ends = {w: i + 1 for i, w in enumerate(own)}, _Endings()
         trainer = Trainer(Weights.of(flat), noise, TaskContext.get().partitionId() * ROUNDS + round_)
         seen = 0
         for batch in batches:
-            for start, stop in slices_by_bytes(batch.column(0)):
-                classes: list[int] = []
-                lengths = []
-                for text in batch.column(0).slice(start, stop - start):
-                    words = _tokens(text.as_py())
-                    classes += [known.get(w) or ends[w[-ENDING:]] for w in words]
-                    classes.append(END)
-                    lengths.append(len(words) + 1)
-                token = np.array(classes, np.int16)
-                before, second = contexts(token, np.array(lengths))
+            for start, stop in slices_by_bytes(batch.column(0), SLICE):
+                token, lengths = _classes(batch.column(0).slice(start, stop - start))
+                before, second = contexts(token, lengths)
                 order = trainer.rng.permutation(len(token))
                 for k in range(0, len(order), STEP):
                     some = order[k : k + STEP]
@@ -258,8 +318,14 @@ def normalised(weights: Weights) -> Model:
 
 
 def trained(train: DataFrame, counts: Counts, text_column: str = "text", rounds: int = ROUNDS) -> Model:
-    """Train on all of ``train``. In each round, tasks train on their texts from common weights, which are then averaged by
-    tokens; the sum runs as an aggregation, so the driver has one set of weights whatever the number of tasks."""
+    """Train on all of ``train``; see :func:`trained_on`."""
+    return trained_on(encoded(train.select(F.lit(0).alias("id"), F.col(text_column).alias("text")), counts, "id", "text"), counts, rounds)
+
+
+def trained_on(coded: DataFrame, counts: Counts, rounds: int = ROUNDS) -> Model:
+    """Train on the encoded texts that train. In each round, tasks train on their texts from common weights, which are then averaged
+    by tokens; the sum runs as an aggregation, so the driver has one set of weights whatever the number of tasks. Which texts a task
+    has depends on the files of the encoded table, so scores may differ a little with another partitioning of the input."""
     noise = np.zeros(CLASSES)
     noise[END] = counts.ends
     for i, (_, n) in enumerate(counts.frequent[:OWN]):
@@ -267,58 +333,26 @@ def trained(train: DataFrame, counts: Counts, text_column: str = "text", rounds:
     noise += counts.inside[:, 0]
     noise = (noise + 1) / (noise + 1).sum()
     flat = started(noise).flat()
-    texts = train.select(F.col(text_column).alias("text"))
+    texts = coded.where("trains").select("classes")
     names = [f"v{j}" for j in range(SIZE + 1)]
     schema = "row int, " + ", ".join(f"{n} double" for n in names) + ", tokens double"
     for k in range(rounds):
-        sums = texts.mapInArrow(_trained(flat, noise, counts.own(), k), schema).groupBy("row").agg(*[(F.sum(n) / F.sum("tokens")).alias(n) for n in names])
+        sums = texts.mapInArrow(_trained(flat, noise, k), schema).groupBy("row").agg(*[(F.sum(n) / F.sum("tokens")).alias(n) for n in names])
         mean = sums.toPandas().sort_values("row")
         if len(mean):
             flat = mean[names].to_numpy()
     return normalised(Weights.of(flat))
 
 
-def _scored(model: Model, counts_unit: int, ends: int, inside: np.ndarray, frequent: list[tuple[bytes, int]]):
+def _scored(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {w: i + 1 for i, (w, _) in enumerate(frequent)}
-        n = np.array([ends, *(c for _, c in frequent)], np.float64)
-        classes = np.array([END, *(1 + i if i < OWN else ending(w) for i, (w, _) in enumerate(frequent))])
-        base = np.log10((n + 1) / counts_unit)
-        within = np.where(classes > OWN, np.log10((n + 1) / (inside.sum(axis=1)[classes] + 1)), 0.0)
         for batch in batches:
-            for start, stop in slices_by_bytes(batch.column(2)):
-                token: list[int] = []
-                place: list[int] = []
-                lengths, rare = [], []
-                for text in batch.column(2).slice(start, stop - start):
-                    words = _tokens(text.as_py())
-                    ids = [known.get(w, -1) for w in words]
-                    others = [w for w, i in zip(words, ids) if i < 0]
-                    place += ids
-                    place.append(0)
-                    token += [ending(w) for w in others]
-                    lengths.append(len(words) + 1)
-                    rare.append(list(Counter(others).items()))
-                at = np.array(place)
-                ordered = classes[np.maximum(at, 0)]
-                ordered[at < 0] = token
-                size = np.array(lengths)
-                firsts = np.cumsum(size) - size
-                values = model.logs(ordered, *contexts(ordered, size)) / math.log(10)
-                has = at >= 0
-                values += np.where(has, within[np.maximum(at, 0)], 0)
-                first_base = np.where(has, base[np.maximum(at, 0)], 0)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(c.slice(start, stop - start) for c in batch.columns[:2]),
-                        pa.array(size, pa.int64()),
-                        pa.array(np.add.reduceat(has & (n[np.maximum(at, 0)] > 0), firsts, dtype=np.int64)),
-                        pa.array(np.add.reduceat(first_base, firsts)),
-                        pa.array(np.add.reduceat(values, firsts)),
-                        _pairs(rare),
-                    ],
-                    ["id", "key", "n_tokens", "n_known", "base", "score", "rare"],
-                )
+            for start, stop in slices_by_bytes(batch.column(6), SLICE):
+                part = batch.slice(start, stop - start)
+                token, size = _classes(part.column(6))
+                sums = np.add.reduceat(model.logs(token, *contexts(token, size)), np.cumsum(size) - size) / math.log(10)
+                score = pa.array(sums + part.column(5).to_numpy())
+                yield pa.RecordBatch.from_arrays([*part.columns[:5], score], ["id", "key", "n_tokens", "n_known", "base", "score"])
 
     return run
 
@@ -336,13 +370,18 @@ def scored(docs: DataFrame, counts: Counts, model: Model, id_column: str = "doc_
     ``score`` is the model's log10 probability of the whole text and its end, ``base_score`` that of smoothed relative frequencies,
     ``n_known`` the tokens that stand in the training texts. NULL, empty and blank texts are their end alone. Repeated rows and NULL
     ids give a row each. Other columns are ignored. Without training texts every token is unseen.
+    """
+    return scored_from(encoded(docs, counts, id_column, text_column), counts, model, id_column)
+
+
+def scored_from(coded: DataFrame, counts: Counts, model: Model, id_column: str = "doc_id") -> DataFrame:
+    """:func:`scored` for texts that are encoded already.
 
     Words that are not frequent meet their counts in a join; Spark may split those that one text set has very often.
     """
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(id_column, text_column).alias("key"), F.col(text_column).alias("text"))
-    schema = "id long, key long, n_tokens long, n_known long, base double, score double, rare array<struct<word: binary, times: long>>"
-    parts = stored(rows.mapInArrow(_scored(model, counts.unit(), counts.ends, counts.inside, counts.frequent), schema), "scored")
-    rare = parts.select("id", "key", F.explode("rare").alias("r")).select("id", "key", "r.word", "r.times")
+    schema = "id long, key long, n_tokens long, n_known long, base double, score double"
+    heads = coded.select("id", "key", "n_tokens", "n_known", "base", "within", "classes").mapInArrow(_scored(model), schema).withColumn("rows", F.lit(1))
+    rare = coded.select("id", "key", F.explode("rare").alias("r")).select("id", "key", "r.word", "r.times")
     rare = rare.join(counts.words, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     inside = F.array(*[F.lit(int(x) + 1) for x in counts.inside.sum(axis=1)[1 + OWN :]])
     place = (F.crc32(F.expr(f"substring(word, -{ENDING}, {ENDING})")) % ENDINGS).cast("int")
@@ -351,7 +390,6 @@ def scored(docs: DataFrame, counts: Counts, model: Model, id_column: str = "doc_
         (F.col("times") * F.log10((F.col("n") + 1) / F.lit(counts.unit()))).alias("base"),
         (F.col("times") * F.log10((F.col("n") + 1) / F.get(inside, place))).alias("score"), F.lit(0).alias("rows"),
     )
-    heads = parts.select("id", "key", "n_tokens", "n_known", "base", "score", F.lit(1).alias("rows"))
     # rows that repeat an id and its text are summed together, and given out again as often as they are there
     whole = heads.unionByName(rare).groupBy("id", "key").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score", "rows")])
     whole = whole.withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))

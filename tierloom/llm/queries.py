@@ -114,9 +114,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = F.coalesce(fold_of("doc_id", 7) == 2, F.lit(False))
-    train = docs.where(~held_out)
-    counts = lm.counted(train)
-    scores = lm.scored(docs, counts, lm.trained(train, counts))
+    counts = lm.counted(docs.where(~held_out))
+    coded = lm.encoded(docs, counts, trains=~held_out)
+    scores = lm.scored_from(coded, counts, lm.trained_on(coded, counts))
     return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
