@@ -12,8 +12,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tierloom.llm.common import grouped, shuffle_partitions, stored
 from tierloom.llm.components import components
@@ -112,6 +113,13 @@ def _close(threshold: float, keys: list[str], count: bool):
     return run
 
 
+def _label(vectors: DataFrame, label_column: str) -> Column:
+    """A label as a number: whole numbers as they are, other labels by 64 bits of their text."""
+    label = F.col(label_column)
+    whole = isinstance(vectors.schema[label_column].dataType, IntegralType)
+    return label.cast("long") if whole else F.when(label.isNotNull(), F.xxhash64(label.cast("string")))
+
+
 LINKS = "node binary, links long, to binary"
 
 
@@ -127,6 +135,7 @@ def similar_vectors(
     * A vector that is NULL, empty, all zero or holds a NULL or non-finite component links with nothing, as does
       one without a label; such a row is its own component and kept.
     * Equal vectors are one with a number of copies, however many there are. Rows that repeat an id are copies too.
+    * Labels may be of any type: 1.2 and 1.7 are two labels, and so are texts that differ. Ids may be too, if they have an order.
     * Vectors of different lengths never link. Other columns are ignored.
 
     Buckets are shuffled as ids first; vectors follow only into buckets of at least two. Components are
@@ -139,7 +148,7 @@ def similar_vectors(
         & F.exists(vector, lambda c: c != 0)
     )
     rows = vectors.select(
-        F.col(id_column).cast("long").alias("id"), F.col(label_column).cast("long").alias("label"), vector.cast("array<double>").alias("vector"), F.coalesce(usable, F.lit(False)).alias("usable")
+        F.col(id_column).alias("id"), _label(vectors, label_column).alias("label"), vector.cast("array<double>").alias("vector"), F.coalesce(usable, F.lit(False)).alias("usable")
     )
     rows = rows.withColumn("node", F.when(F.col("usable"), F.unhex(F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.col("vector").cast("array<string>")), 224))))
     rows = stored(rows.select("id", "node", "label", F.when(F.col("usable"), F.col("vector")).alias("vector")), "vectors")

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
 from tierloom.llm.common import stored
 from tierloom.session import new_table_path
 
 SEED = 7
-#: Bytes of rows in a bucket; a task holds one bucket at a time.
+#: Bytes of rows in a bucket. Buckets are dealt out by their number, one to a task; larger executors may take larger ones.
 BUCKET_BYTES = 16 << 20
 #: Rows that repeat id and text are dealt out one by one if together they hold more than this part of a bucket.
 REPEATED = 16
@@ -35,6 +35,12 @@ def row_bytes(docs: DataFrame) -> Column:
     return size.cast("long")
 
 
+def _has_map(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return any(_has_map(field.dataType) for field in kind.fields)
+    return isinstance(kind, MapType) or isinstance(kind, ArrayType) and _has_map(kind.elementType)
+
+
 def sharded(docs: DataFrame, shards: int, id_column: str = "doc_id", text_column: str = "text", seed: int = SEED, bucket_bytes: int = BUCKET_BYTES, folder: str | None = None) -> DataFrame:
     """``shard, slot, row``: every row of ``docs`` (the struct ``row``) at its place in one of ``shards`` shards.
 
@@ -45,7 +51,7 @@ def sharded(docs: DataFrame, shards: int, id_column: str = "doc_id", text_column
       share a bucket while they are small together; else each is scattered by its place among the repeated rows of
       its input partition, which is stored first. A rerun over the same partitions draws the same.
     * NULL and empty texts are rows like others; a very long row makes its bucket larger by its length.
-    * An empty table gives no rows. Columns of ``docs`` stay in ``row``, so their names cannot clash.
+    * An empty table gives no rows. Columns of ``docs`` stay in ``row``, so their names cannot clash; they may be of any type, maps included.
 
     The driver holds three numbers. Bucket counts, one row for each ``bucket_bytes`` of rows, are summed up by a window.
     """
@@ -56,10 +62,12 @@ def sharded(docs: DataFrame, shards: int, id_column: str = "doc_id", text_column
     n_rows, n_bytes, n_repeated = keys.agg(F.coalesce(F.sum("n"), F.lit(0)), F.sum("bytes"), F.count_if(repeated)).first()
     buckets = max(1, -(-int(n_bytes or 0) // bucket_bytes))
     rows = docs.select(place, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    # maps have no order of their own; their text has
+    order = F.col("row").cast("string") if _has_map(docs.schema) else F.col("row")
     if n_repeated:
         many = stored(keys.where(repeated).select("place"), "repeated")
         # in a fixed order, whatever order a partition's rows came in; stored, so that counting and gathering see one salt
-        salted = rows.join(many, "place", "left_semi").sortWithinPartitions("place", "row")
+        salted = rows.join(many, "place", "left_semi").sortWithinPartitions("place", order)
         salted = stored(salted.select(F.xxhash64("place", F.monotonically_increasing_id()).alias("place"), "row"), "salted")
         rows = rows.join(many, "place", "left_anti").unionByName(salted)
     rows = rows.select(F.pmod("place", F.lit(buckets)).cast("int").alias("bucket"), "place", "row")
@@ -68,9 +76,10 @@ def sharded(docs: DataFrame, shards: int, id_column: str = "doc_id", text_column
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
 
-    gathered = rows.repartition(buckets, "bucket").groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("place", "row"))).alias("rows"))
-    # rows of a bucket, and buckets of a partition, are in a fixed order: a task that runs again draws the same
-    shuffled = gathered.sortWithinPartitions("bucket").select("bucket", F.shuffle("rows", seed).alias("rows"))
+    # rows of a bucket are gathered in a fixed order: a task that runs again draws the same
+    dealt = rows.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket", "place", order)
+    gathered = dealt.groupBy("bucket").agg(F.collect_list(F.struct("place", "row")).alias("rows"))
+    shuffled = gathered.select("bucket", F.shuffle("rows", seed).alias("rows"))
     placed = shuffled.join(offsets, "bucket").select("offset", F.posexplode("rows").alias("at", "entry"))
     position = F.col("offset") + F.col("at")
     total, parts = F.lit(max(1, n_rows)), F.lit(shards)

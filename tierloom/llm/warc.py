@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm.common import shuffle_partitions
+from tierloom.llm.common import shuffle_partitions, stored
 from tierloom.session import new_table_path
 
 #: Fixed values of the format: gzip's first bytes with deflate as the method, versions, the revisit profile.
@@ -69,8 +69,8 @@ def _files(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 def _written(folder: str):
-    """Archives of a task. A file has its final name only when it is whole, so a task that is lost or repeated leaves no
-    half file that is read, and the second attempt writes the same names."""
+    """Archives of a task. A file has its final name only when it is whole, and the name has the attempt: what a lost attempt
+    has left beside those of the one that counts is in no result of a write, and so is not read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -83,7 +83,7 @@ def _written(folder: str):
             if out is None:
                 return
             out.close()
-            name = f"{base}/part-{part:06d}-{number:04d}.warc.gz"
+            name = f"{base}/part-{part:06d}-{attempt}-{number:04d}.warc.gz"
             files.move(f"{base}/_{attempt}-{number}.tmp", name)
             done.append((name.rsplit("/", 1)[-1], records))
             out, size, number, records = None, 0, number + 1, 0
@@ -143,24 +143,34 @@ def _head(data: bytes) -> bytes | None:
 
 
 def _fields(head: bytes) -> dict[str, str]:
-    return dict(line.split(": ", 1) for line in head.decode("utf-8", "replace").split("\r\n") if ": " in line)
+    """Fields by their lower-case name; case does not matter in them."""
+    pairs = (line.split(":", 1) for line in head.decode("utf-8", "replace").split("\r\n")[1:] if ":" in line)
+    return {name.strip().lower(): value.strip() for name, value in pairs}
+
+
+def _number(value: str | None) -> int | None:
+    return int(value) if value and value.strip().lstrip("-").isdigit() else None
 
 
 def parsed(member: bytes) -> tuple:
-    """id, url, type, payload of a response, length and digest of the full payload, the id a revisit refers to."""
+    """id, url, type, payload, length and digest of the full payload, the id a revisit refers to.
+
+    A response's payload is what follows its HTTP head; a digest that it names is checked, one that it lacks is computed. A revisit
+    has the length and digest it names. Of any other record, such as ``warcinfo`` or ``request``, the payload is the block.
+    """
     head, _, rest = member.partition(b"\r\n\r\n")
     fields = _fields(head)
-    block = rest[: int(fields["Content-Length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    kind = fields["WARC-Type"]
-    if kind == "response":
-        length, payload_digest = len(payload), digest(payload)
-        if fields["WARC-Payload-Digest"] != "sha1:" + payload_digest:
-            raise ValueError(f"payload and digest of {fields['WARC-Record-ID']} differ")
+    block = rest[: int(fields["content-length"])]
+    kind = fields["warc-type"].lower()
+    http, _, payload = block.partition(b"\r\n\r\n") if kind in ("response", "revisit") and block.startswith(b"HTTP/") else (b"", b"", block)
+    named = fields.get("warc-payload-digest")
+    if kind == "revisit":
+        length, payload, payload_digest = _number(_fields(http).get("content-length")), None, named.removeprefix("sha1:") if named else None
     else:
-        length, payload_digest, payload = int(_fields(http)["Content-Length"]), fields["WARC-Payload-Digest"].removeprefix("sha1:"), None
-    number = lambda name: int(fields[name]) if name in fields else None
-    return number("X-Page-Id"), fields.get("WARC-Target-URI"), kind, payload, length, payload_digest, number("X-Refers-To-Page-Id")
+        length, payload_digest = len(payload), digest(payload)
+        if kind == "response" and named and named.startswith("sha1:") and named != "sha1:" + payload_digest:
+            raise ValueError(f"payload and digest of {fields.get('warc-record-id')} differ")
+    return _number(fields.get("x-page-id")), fields.get("warc-target-uri"), kind, payload, length, payload_digest, _number(fields.get("x-refers-to-page-id"))
 
 
 def records_in(source: pa.NativeFile, begin: int, end: int, length: int) -> Iterator[bytes]:
@@ -219,20 +229,29 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
-def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """A row for every record in the archives of ``folder``. Responses are checked against their digest.
+def read_archives(spark: SparkSession, folder: str, files: DataFrame | None = None) -> DataFrame:
+    """A row for every record in the archives of ``folder``, or in those that ``files`` names: the result of :func:`write_archives`.
 
-    ``payload`` is NULL for revisits; length and digest are those of the full payload for both. A folder without archives gives no rows.
+    Responses are checked against their digest. ``payload`` is NULL for revisits; length and digest are those of the full payload for
+    both. Records of other types are rows too, see :func:`parsed`. A folder without archives gives no rows.
     """
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path", "length")
+    if files is not None:
+        listed = listed.join(files.select(F.col("file").alias("_file")), F.substring_index("path", "/", -1) == F.col("_file"), "left_semi")
     ranges = listed.select("path", "length", F.explode(F.expr(f"sequence(0L, greatest(length - 1, 0L), {SPLIT}L)")).alias("begin"))
     return ranges.repartition(shuffle_partitions(spark), "path", "begin").mapInArrow(_read, RECORDS)
 
 
 def archived(pages: DataFrame, folder: str | None = None, **columns: str) -> DataFrame:
-    """Write ``pages`` to archives in ``folder`` (a new one in the shared folder) and read them back."""
+    """Write ``pages`` to archives in ``folder`` (a new one in the shared folder) and read them back.
+
+    What is read are the files that the stored result of the write names, those of the attempts that counted. Fails if they do
+    not hold a record for each row."""
     spark = pages.sparkSession
     folder = folder or new_table_path(spark, "warc")
     folder = folder if ":" in folder else "file://" + folder
-    write_archives(pages, folder, **columns).agg(F.sum("records")).first()
-    return read_archives(spark, folder)
+    written = stored(write_archives(pages, folder, **columns), "archives")
+    records, rows = written.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0], pages.count()
+    if records != rows:
+        raise RuntimeError(f"{records} records were written of {rows} rows")
+    return read_archives(spark, folder, written)
