@@ -152,9 +152,9 @@ def contexts(classes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.n
 
 def _summed(rows: np.ndarray, gradients: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(rows, kind="stable")  # by radix, as rows are 16-bit numbers
-    ordered = rows[order]
+    ordered = rows.take(order)
     at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    return ordered[at], np.add.reduceat(gradients[order], at, axis=0)
+    return ordered.take(at), np.add.reduceat(gradients.take(order, axis=0), at, axis=0)
 
 
 class Trainer:
@@ -170,26 +170,34 @@ class Trainer:
     def step(self, token: np.ndarray, before: np.ndarray, second: np.ndarray) -> None:
         w = self.w
         noise = np.minimum(np.searchsorted(self.cumulated, self.rng.random(NOISE)), CLASSES - 1).astype(np.int16)
-        one, two = w.context[before], w.context[second]
+        one, two = w.context.take(before, axis=0), w.context.take(second, axis=0)
         predicted = one * w.places[0] + two * w.places[1]
-        vectors, others = w.target[token], w.target[noise]
-        real = (predicted * vectors).sum(axis=1) + w.bias[token] - self.log_noise[token]
-        false = predicted @ others.T + w.bias[noise] - self.log_noise[noise]
+        vectors, others = w.target.take(token, axis=0), w.target.take(noise, axis=0)
+        lift = w.bias - self.log_noise
+        real = np.einsum("ij,ij->i", predicted, vectors) + lift.take(token)
+        false = predicted @ others.T
+        false += lift.take(noise)
         up = 1 / (1 + np.exp(np.clip(real, -30, 30)))
         np.clip(false, -30, 30, out=false)
         np.negative(false, out=false)
         np.exp(false, out=false)
         false += 1
         down = np.divide(-1, false, out=false)
-        toward = up[:, None] * vectors + down @ others
-        rows = np.concatenate([token, noise])
-        gradients = np.vstack([np.hstack([up[:, None] * predicted, up[:, None]]), np.hstack([down.T @ predicted, down.sum(axis=0)[:, None]])])
+        toward = down @ others
+        vectors *= up[:, None]
+        toward += vectors
+        rows, n = np.concatenate([token, noise]), len(token)
+        gradients = np.empty((len(rows), SIZE + 1), np.float32)
+        np.multiply(predicted, up[:, None], out=gradients[:n, :-1])
+        gradients[:n, -1] = up
+        gradients[n:, :-1] = down.T @ predicted
+        gradients[n:, -1] = down.sum(axis=0)
         names, total = _summed(rows, gradients)
         self._move("target", names, total[:, :-1])
         self._move("bias", names, total[:, -1])
         names, total = _summed(np.concatenate([before, second]), np.vstack([toward * w.places[0], toward * w.places[1]]))
         self._move("context", names, total)
-        self._move("places", np.arange(2), np.stack([(toward * one).sum(axis=0), (toward * two).sum(axis=0)]))
+        self._move("places", np.arange(2), np.stack([np.einsum("ij,ij->j", toward, x) for x in (one, two)]))
 
     def _move(self, name: str, rows: np.ndarray, gradient: np.ndarray) -> None:
         gradient = gradient * np.float32(16 / STEP)
