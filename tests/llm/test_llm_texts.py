@@ -129,15 +129,17 @@ def test_words_are_summed_over_all_segmentations():
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=PIECE_VOCABULARY)
-    names = sorted({p for p in map(model.id_to_piece, range(model.get_piece_size())) if len(p) <= language.LONGEST and p == p.lower() and (p.lstrip("▁").isalpha() or p == "▁")})
+    names = sorted({p for p in map(model.id_to_piece, range(model.get_piece_size())) if p == p.lower() and (p.lstrip("▁").isalpha() or p == "▁")})
+    longest = max(map(len, names))
+    assert pieces.longest == longest and pieces.count == len(names) == 22_240
     rng = np.random.default_rng(1)
     table = np.append(rng.random(len(names)), [0, language.OUTSIDE])
     probability = dict(zip(names, table))
-    for word in ["the", "straße", "zürich", "日本", "a" * 12]:
+    for word in ["the", "straße", "zürich", "日本", "a" * 12, "information", "responsibilities"]:
         lattice = language._lattice(pieces, [word])
         _, logs = language.forward(lattice, table[:, None])
-        want = all_segmentations("▁" + word, probability, language.LONGEST)
-        assert logs[0, 0] == pytest.approx(math.log(want), rel=1e-9)
+        want = all_segmentations("▁" + word, probability, longest)
+        assert logs[-1, 0, 0] == pytest.approx(math.log(want), rel=1e-9)
         into = np.zeros(len(table))
         language.expected(lattice, table, np.array([3.0]), into)
         length = sum(n * len(names[i]) for i, n in enumerate(into[:-2])) + into[-1]
@@ -149,7 +151,24 @@ def test_long_words_are_scaled():
     table = np.full((pieces.count + 2, 2), 1e-4)
     table[-2:] = [[0, 0], [1e-7, 1e-7]]
     _, logs = language.forward(language._lattice(pieces, ["ab" * 3000]), table)
-    assert np.isfinite(logs).all() and (logs < -5000).all()
+    assert np.isfinite(logs).all() and (logs[-1] < -5000).all()
+
+
+def test_long_words_teach_as_short_ones_do(monkeypatch):
+    pieces = language.Pieces(PIECE_VOCABULARY)
+    rng = np.random.default_rng(2)
+    table = np.append(rng.random(pieces.count), [0, language.OUTSIDE])
+    for word in ["information" * 4, "straßenbahn日" * 3]:
+        lattice = language._lattice(pieces, [word, word])
+        whole, by_steps = np.zeros(len(table)), np.zeros(len(table))
+        language.expected(lattice, table, np.array([2.0, 1.0]), whole)
+        with monkeypatch.context() as patch:
+            patch.setattr(language, "UNSCALED", 1000)
+            language.expected(lattice, table, np.array([2.0, 1.0]), by_steps)
+        assert np.allclose(whole, by_steps, rtol=1e-9)
+    into = np.zeros(len(table))
+    language.expected(language._lattice(pieces, ["z" * 3000]), table, np.array([1.0]), into)
+    assert np.isfinite(into).all() and into.sum() > 0
 
 
 def test_language_of_held_out_texts(spark):

@@ -25,16 +25,21 @@ from tierloom.llm.words import mix
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
-#: Longest piece, with the word mark; rounds of expectation-maximisation; added to the count of each piece.
-LONGEST, ROUNDS, ADDED = 8, 2, 0.1
+#: Rounds of expectation-maximisation; added to the count of each piece.
+ROUNDS, ADDED = 2, 0.1
 #: Pieces in the vocabulary that a character outside it is as likely as one of.
 OUTSIDE = 1e-7
 #: Characters of the words that are cut together.
 TOGETHER = 100_000
 #: Characters up to which probabilities of words need no scaling.
 UNSCALED = 32
+#: Pieces of up to so many characters end nearly everywhere; longer ones are looked for word by word.
+FREQUENT = 2
 CACHED = 300_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+#: Low bits of a hash that tell most strings which are no piece.
+_SEEN_BITS = 20
+_SEEN_MASK = np.uint64((1 << _SEEN_BITS) - 1)
 
 
 class Pieces:
@@ -43,15 +48,22 @@ class Pieces:
     def __init__(self, path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         every = (model.id_to_piece(i) for i in range(model.get_piece_size()))
-        chosen = sorted({p for p in every if len(p) <= LONGEST and p == p.lower() and (p.lstrip("▁").isalpha() or p == "▁")})
+        chosen = sorted({p for p in every if p == p.lower() and (p.lstrip("▁").isalpha() or p == "▁")})
         hashes = np.array([_hash(p) for p in chosen], np.uint64)
         order = np.argsort(hashes)
         self.count, self.hashes, self.number = len(chosen), hashes[order], order.astype(np.int32)
+        self.longest = max(map(len, chosen))
+        self._seen = np.zeros(1 << _SEEN_BITS, bool)
+        self._seen[(hashes & _SEEN_MASK).astype(np.int64)] = True
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Number of each piece, ``count`` for none."""
-        at = np.minimum(np.searchsorted(self.hashes, hashes), self.count - 1)
-        return np.where(self.hashes[at] == hashes, self.number[at], self.count)
+        found = np.full(hashes.shape, self.count, np.int32)
+        likely = np.nonzero(self._seen[(hashes & _SEEN_MASK).astype(np.int64)])
+        some = hashes[likely]
+        at = np.minimum(np.searchsorted(self.hashes, some), self.count - 1)
+        found[likely] = np.where(self.hashes[at] == some, self.number[at], self.count)
+        return found
 
 
 def _hash(piece: str) -> int:
@@ -65,7 +77,7 @@ def _lattice(pieces: Pieces, words: list[str]) -> list[np.ndarray]:
     """For each piece length, the piece that ends at each character of each word; words of one length."""
     codes = np.frombuffer("".join("▁" + w for w in words).encode("utf-32-le"), np.uint32).reshape(len(words), -1).astype(np.uint64) + np.uint64(1)
     out, h = [], np.zeros_like(codes)
-    for size in range(1, min(LONGEST, codes.shape[1]) + 1):
+    for size in range(1, min(pieces.longest, codes.shape[1]) + 1):
         h[:, 1:] = h[:, :-1]
         h[:, 0] = 0
         h = h * _FACTOR + codes
@@ -80,37 +92,58 @@ def _lattice(pieces: Pieces, words: list[str]) -> list[np.ndarray]:
 def forward(lattice: list[np.ndarray], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Probability of the first t characters of each word in each language, over all ways to cut them, for every t.
 
-    ``table`` is [piece, language]. Returns [t, word, language] and the logarithm of the last; the probabilities of words longer than
-    ``UNSCALED`` are scaled step by step, as they would vanish.
+    ``table`` is [piece, language]; its last two rows are those of no piece (0) and of an unknown character. Returns [t, word, language] and
+    the logarithms; probabilities of words longer than ``UNSCALED`` are scaled to 1 step by step, as they would vanish.
     """
     n, length = lattice[0].shape
     scaled = length > UNSCALED
     sums = np.zeros((length + 1, n, table.shape[1]))
     logs = np.zeros((length + 1, n, table.shape[1])) if scaled else None
     sums[0] = 1
+    ending = _ending(lattice, len(table) - 2)
     for t in range(1, length + 1):
-        for size in range(1, min(t, len(lattice)) + 1):
-            term = sums[t - size] * table[lattice[size - 1][:, t - 1]]
-            sums[t] += term * np.exp(logs[t - size] - logs[t - 1]) if scaled else term
+        for size, rows, found in ending(t):
+            term = sums[t - size][rows] * table[found]
+            sums[t][rows] += term * np.exp(logs[t - size][rows] - logs[t - 1][rows]) if scaled else term
         if scaled:
             logs[t] = logs[t - 1] + np.log(sums[t])
             sums[t] = 1
-    return sums, logs[-1] if scaled else np.log(sums[-1])
+    return sums, logs if scaled else np.log(sums)
+
+
+def _ending(lattice: list[np.ndarray], none: int):
+    """For a place t, the sizes of pieces that end there, with the words that have one and its number."""
+    there = [(found != none).any(axis=0).tolist() for found in lattice]
+
+    def at(t: int) -> Iterator[tuple[int, np.ndarray | slice, np.ndarray]]:
+        for size in range(1, min(t, len(lattice)) + 1):
+            if there[size - 1][t - 1]:
+                found = lattice[size - 1][:, t - 1]
+                if size <= FREQUENT:
+                    yield size, slice(None), found
+                else:
+                    rows = np.flatnonzero(found != none)
+                    yield size, rows, found[rows]
+
+    return at
 
 
 def expected(lattice: list[np.ndarray], table: np.ndarray, counts: np.ndarray, into: np.ndarray) -> None:
-    """Add to ``into`` how often each piece is expected in words that occur ``counts`` times; one language's ``table``."""
+    """Add to ``into`` how often each piece is expected in words that occur ``counts`` times; one language's ``table``.
+
+    Goes back over the words with the expected number of cuts at each place, of which a piece takes its share. Shares are
+    ratios of neighbouring forward sums, so words of any length need no further scaling.
+    """
     n, length = lattice[0].shape
-    left, _ = forward(lattice, table[:, None])
-    left = left[:, :, 0]
-    right = np.zeros((length + 1, n))
-    right[length] = counts / left[length]
+    logs = forward(lattice, table[:, None])[1][:, :, 0]
+    cuts = np.zeros((length + 1, n))
+    cuts[length] = counts
+    ending = _ending(lattice, len(table) - 2)
     for t in range(length, 0, -1):
-        for size in range(1, min(t, len(lattice)) + 1):
-            found = lattice[size - 1][:, t - 1]
-            way = table[found] * right[t]
-            right[t - size] += way
-            into += np.bincount(found, weights=way * left[t - size], minlength=len(into))
+        for size, rows, found in ending(t):
+            share = cuts[t][rows] * table[found] * np.exp(logs[t - size][rows] - logs[t][rows])
+            cuts[t - size][rows] += share
+            into += np.bincount(found, weights=share, minlength=len(into))
 
 
 def by_length(words: list[str]) -> Iterator[list[int]]:
@@ -153,7 +186,7 @@ def _expectations(name: str, tables: dict[str, np.ndarray] | None):
             langs, words, counts = (c.to_pylist() for c in batch.columns)
             rows: dict[str, list[tuple[str, int]]] = {}
             for lang, word, n in zip(langs, words, counts):
-                rows.setdefault(lang, []).extend((word[k : k + UNSCALED - 1], n) for k in range(0, len(word), UNSCALED - 1))
+                rows.setdefault(lang, []).append((word, n))
             for lang, pairs in rows.items():
                 into = sums.setdefault(lang, np.zeros(pieces.count + 2))
                 table = tables[lang] if tables else first
@@ -169,7 +202,7 @@ def _expectations(name: str, tables: dict[str, np.ndarray] | None):
 def train(docs: DataFrame, vocabulary_path: str, text_column: str = "text", lang_column: str = "lang", rounds: int = ROUNDS) -> dict[str, tuple[float, np.ndarray]]:
     """For each language of ``docs``, its share of them and its piece probabilities. Rows without language or text teach nothing.
 
-    Words longer than ``UNSCALED`` letters are learned from in parts. The driver holds the vocabulary once for each language.
+    Words of any length are learned from whole, by all pieces. The driver holds the vocabulary once for each language.
     """
     name = vocabulary_path.rsplit("/", 1)[-1]
     docs.sparkSession.sparkContext.addFile(vocabulary_path)
@@ -215,7 +248,7 @@ def _predicted(name: str, model: dict[str, tuple[float, np.ndarray]]):
                     logs = np.concatenate([logs, np.zeros((len(known) + len(new), len(langs)))])
                 for some in by_length(new):
                     rows = np.arange(len(known), len(known) + len(some))
-                    logs[rows] = forward(_lattice(pieces, [new[i] for i in some]), table)[1]
+                    logs[rows] = forward(_lattice(pieces, [new[i] for i in some]), table)[1][-1]
                     known.update((new[i], row) for i, row in zip(some, rows.tolist()))
                 best, score = [], []
                 for words in found:
