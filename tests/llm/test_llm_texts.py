@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tierloom.llm import bpe, fingerprints, language, lm, toxicity
-from tierloom.llm.common import fold_of
+from tierloom.llm.common import fold_of, stored
 from tierloom.llm.queries import BPE_VOCABULARY, PIECE_VOCABULARY
 
 CASES = [
@@ -91,6 +91,32 @@ def test_fingerprints_of_repeated_rows_null_ids_one_row_and_none(spark):
     assert fingerprints.fingerprints(spark.createDataFrame([], schema)).collect() == []
 
 
+def test_rows_without_id_and_repeated_rows_fill_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RANGE_BYTES", 2000)
+    written = []
+
+    def kept(df, purpose):
+        written.append(stored(df, purpose))
+        return written[-1]
+
+    monkeypatch.setattr(fingerprints, "stored", kept)
+    rows = [(None, f"text {i} " + "w" * 50) for i in range(200)] + [("same", "of one text " * 5)] * 200 + [(f"id{i:03}", f"other {i} " * 6) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id string, text string").repartition(5)
+    got = fingerprints.fingerprints(df)
+    assert got.schema["doc_id"].dataType.simpleString() == "string"
+    got = got.collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+    same = [r.edited_sha256 for r in got if r.doc_id == "same"]
+    text = "of one text " * 5
+    assert same.count(hexed(text[:45] + text[:15])) == 199
+    ends = Counter(r.id for r in written[0].where("is_first").collect())
+    assert ends[None] > 3 and ends["same"] > 3
+    by_id = sorted((r for r in got if r.doc_id and r.doc_id != "same"), key=lambda r: r.doc_id)
+    for (id_, own), (_, following), r in zip(rows[400:], rows[401:], by_id):
+        n = len(own) // 4
+        assert (r.doc_id, r.edited_sha256) == (id_, hexed(own[: len(own) - n] + following[:n]))
+
+
 def test_likeness():
     rng = random.Random(6)
     prose = lambda n: " ".join("".join(rng.choices("etaoinshr", k=rng.randrange(2, 9))) for _ in range(n)).encode()

@@ -14,9 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from tierloom.llm.common import stored
 from tierloom.llm.words import mix
 
 WINDOW = 7
@@ -122,60 +125,51 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-OUTPUT = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+RESULT = [("n_chars", LongType()), ("edited_sha256", StringType()), ("fingerprint", StringType()), ("edited_fingerprint", StringType()), ("near_edited", DoubleType()), ("near_next", DoubleType())]
+#: What is known of a range's first and last row, which meet the rows of other ranges: the range, which of the two, the text.
+EDGE = [("range", IntegerType()), ("is_first", BooleanType()), ("text", StringType())]
 
 
-def _spread(bounds: np.ndarray, firsts: dict[int, tuple] | None):
-    """Range and own fingerprint of every row; the first row of a range is also lent to the range before it."""
-    order = sorted(firsts or ())
-    lend_to = {place: order[k - 1] for k, place in enumerate(order)}
+def _result(text: str, own: str, following: str, following_print: str) -> tuple:
+    """The columns of ``RESULT`` for a text and the one after it."""
+    changed = edited(text, following).encode("utf-8")
+    print_ = fingerprint(changed)
+    return len(text), hashlib.sha256(changed).hexdigest(), own, print_, likeness(own, print_), likeness(own, following_print)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            places = np.searchsorted(bounds, np.array([-(2**63) if i is None else i for i in ids], np.int64), side="right").tolist()
-            if firsts is None:
-                yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), *batch.columns], ["place", "id", "key"])
-                continue
-            prints = [fingerprint(t.as_py().encode("utf-8")) for t in batch.column(2)]
-            lent = [i for i in range(len(ids)) if firsts[places[i]] == (ids[i], keys[i])]
-            own = pa.RecordBatch.from_arrays(
-                [pa.array(places, pa.int64()), pa.array([0] * len(ids), pa.int32()), *batch.columns, pa.array(prints, pa.string())],
-                ["place", "lent", "id", "key", "text", "print"],
-            )
-            yield own
-            if lent:
-                more = own.take(pa.array(lent))
-                to = [lend_to[places[i]] for i in lent]
-                yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array([1] * len(lent), pa.int32()), *more.columns[2:]], own.schema.names)
 
-    return run
-
-
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come in order, a range after the other; a lent row is only there as the next of the one before it."""
+def _in_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Results of the rows of a sorted range, each with the one after it; its first and last row are handed on as edges."""
+    range_ = TaskContext.get().partitionId()
     last: tuple | None = None
-    out: list[tuple] = []
+    ids: pa.DataType | None = None
+    for batch in batches:
+        ids, out = batch.schema.types[0], []
+        for id_, text in zip(*(batch.column(i) for i in (0, 1))):
+            text = text.as_py()
+            own = fingerprint(text.encode("utf-8"))
+            if last is None:
+                out.append((id_, None, None, own, None, None, None, range_, True, text))
+            else:
+                out.append((last[0], *_result(*last[1:], text, own), None, None, None))
+            last = id_, text, own
+        yield _batch(out, ids)
+    if last is not None:
+        yield _batch([(last[0], None, None, last[2], None, None, None, range_, False, last[1])], ids)
+
+
+def _at_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Results of the last rows of ranges: id, text, fingerprint, next text, its fingerprint."""
     for batch in batches:
-        for i in range(batch.num_rows):
-            place, lent, id_, text, own = (c[i].as_py() for c in batch.columns)
-            if last and last[0] == place:
-                _, before, before_text, before_print = last
-                changed = edited(before_text, text).encode("utf-8")
-                print_ = fingerprint(changed)
-                out.append((before, len(before_text), hashlib.sha256(changed).hexdigest(), before_print, print_, likeness(before_print, print_), likeness(before_print, own)))
-            last = None if lent else (place, id_, text, own)
-            if len(out) >= 2000:
-                yield _batch(out)
-                out = []
-    if out:
-        yield _batch(out)
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-    names = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+        out = [(row[0], *_result(*(v.as_py() for v in row[1:]))) for row in zip(*batch.columns)]
+        yield _batch(out, batch.schema.types[0])
+
+
+def _batch(rows: list[tuple], ids: pa.DataType) -> pa.RecordBatch:
+    kinds = [ids, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int32(), pa.bool_(), pa.string()]
+    columns = list(zip(*rows)) or [()] * (1 + len(RESULT))
+    names = ["id", *(name for name, _ in RESULT + EDGE)][: len(columns)]
+    own = pa.array([v.as_py() for v in columns[0]], ids)
+    return pa.RecordBatch.from_arrays([own, *(pa.array(c, k) for c, k in zip(columns[1:], kinds[1:]))], names)
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -183,21 +177,30 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     The next document is the one with the next larger id, the first one after the last; rows of one id follow each
     other by the hash of their text. NULL ids come first. NULL is the empty text. A single row is its own next. Texts are
-    hashed whole. Other columns are ignored.
+    hashed whole. Other columns are ignored. Ids may be of any type that can be ordered, and keep it.
 
-    Texts are shuffled once, to ranges of ids. The first row of each range also goes to the range before it, so
-    that no range needs another one's task. The driver holds the bounds of the ranges and the keys of their first rows: a few
-    numbers for each ``RANGE_BYTES`` of text.
+    Texts are shuffled once, to ranges of id, hash of the text and place in the input, so that rows of one id (or none), or that
+    repeat it with their text, fill as many ranges as their size asks for. The input's partitions must reread alike. Only the first and last row of each
+    range leave it: the last one meets the first one of the next range in a join of one row for each range.
     """
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    rows = rows.select("id", F.xxhash64("text").alias("key"), "text")
+    kind = docs.schema[id_column].dataType
+    rows = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    rows = rows.select("id", F.xxhash64("text").alias("key"), F.monotonically_increasing_id().alias("place"), "text")
     n_bytes = rows.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    ranges = max(1, -(-n_bytes // RANGE_BYTES))
-    bounds = rows.agg(F.percentile_approx("id", [k / ranges for k in range(1, ranges)], 20 * ranges)).first()[0] if ranges > 1 else None
-    bounds = np.unique(np.array(bounds or [], np.int64))
-    placed = rows.select("id", "key").mapInArrow(_spread(bounds, None), "place long, id long, key long")
-    firsts = {r["place"]: (r["first"]["id"], r["first"]["key"]) for r in placed.groupBy("place").agg(F.min(F.struct("id", "key")).alias("first")).collect()}
-    spread = rows.mapInArrow(_spread(bounds, firsts), "place long, lent int, id long, key long, text string, print string")
-    spread = spread.repartition(max(1, len(bounds) + 1), "place").sortWithinPartitions("place", "lent", F.asc_nulls_first("id"), "key")
-    out = spread.select("place", "lent", "id", "text", "print").mapInArrow(_compared, OUTPUT)
+    order = [F.asc_nulls_first("id"), F.asc("key"), F.asc("place")]
+    ranged = rows.repartitionByRange(max(1, -(-n_bytes // RANGE_BYTES)), *order).sortWithinPartitions(*order).select("id", "text")
+
+    result = [StructField("id", kind), *(StructField(*column) for column in RESULT)]
+    edge = [StructField(*column) for column in EDGE]
+    found = stored(ranged.mapInArrow(_in_range, StructType(result + edge)), "fingerprints")
+
+    firsts, lasts = found.where("is_first"), found.where("NOT is_first")
+    in_order = Window.orderBy("range")  # one number for each range
+    follows = firsts.select("range").select(
+        "range", F.coalesce(F.lead("range").over(in_order), F.min("range").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("next")
+    )
+    following = firsts.select(F.col("range").alias("next"), F.col("text").alias("next_text"), F.col("fingerprint").alias("next_print"))
+    pairs = lasts.join(follows, "range").join(following, "next").select("id", "text", "fingerprint", "next_text", "next_print")
+    inside = found.where("is_first IS NULL").select(*(field.name for field in result))
+    out = inside.unionByName(pairs.mapInArrow(_at_edges, StructType(result)))
     return out.withColumnRenamed("id", id_column)
