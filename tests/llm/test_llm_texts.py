@@ -257,6 +257,83 @@ def test_toxicity_without_labels(spark):
     assert toxicity.fit(docs.where("false"), toxicity.labelled(docs.where("false"), none)) is not None
 
 
+def test_an_id_that_very_many_rows_repeat_is_one_labelled_text(spark):
+    rows, truth = toxic_fixture()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, y in truth if i % 4 != 2], "doc_id long, toxic int")
+    hot = spark.range(50_000).selectExpr("0L AS doc_id", "CASE WHEN id % 2 = 0 THEN concat('idiot scum ', id) ELSE 'idiot moron' END AS text")
+    sample = toxicity.labelled(docs.union(hot), labels, most=300)
+    assert sample.count() == 300
+    assert toxicity.labelled(docs.union(hot), labels).count() == labels.count()
+    names = docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    assert toxicity.labelled(names, labels.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))).count() == labels.count()
+    model = toxicity.fit(docs.union(hot), toxicity.labelled(docs.union(hot), labels))
+    got = {r.doc_id: r.predicted for r in toxicity.scored(docs, model).collect()}
+    assert np.mean([got[i] == y for i, y in truth if i % 4 == 2]) > 0.95
+
+
+def test_only_near_copies_stand_for_each_other(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randrange(9, 14))) for _ in range(3000)]
+    passage = rng.choices(words, k=30)
+    different = [" ".join(rng.choices(words, k=60) + passage + rng.choices(words, k=60)) for _ in range(200)]
+    long = rng.choices(words, k=400)
+    copies = [" ".join([*long[:i], "changed", *long[i + 1 :]]) for i in range(100)]
+    texts = different + copies + ["same beginning1", "same beginning2", "", "only"]
+    sample = spark.createDataFrame([(t, 1) for t in texts] + [("only", 0), ("only", 1)], "text string, toxic int").repartition(3)
+    left = toxicity.distinct_texts(sample).collect()
+    kept = {(r.text, r.toxic) for r in left}
+    assert len(kept) == len(left) and {(t, 1) for t in different} <= kept and {("only", 0), ("only", 1), ("", 1), ("same beginning1", 1)} <= kept
+    assert len(kept & {(t, 1) for t in copies}) == 1
+    assert toxicity.distinct_texts(sample.where("false")).collect() == []
+
+
+def test_votes_as_by_brute_force():
+    """Every voter by its definition: entries are looked for one after the other in every word."""
+    rng = random.Random(8)
+    lexicon = toxicity.Lexicon({"scumbag": 3.0, "moron": 2.6, "vile": 4.0}, {"zozo": 3.0, "zozox": 3.5, "wretch": 2.7})
+    some = ["You", "are", "an", "IDIOT", "moron", "vile", "zozoxing", "zozo", "zo", "wretched", "sh*t", "tonto", "imbécile", "trottel", "day", "WHAT", "EVER", "NOW!!!", "fine?!", "@@@", "é", "7"]
+    for _ in range(300):
+        text = " ".join(rng.choices(some, k=rng.randrange(0, 12)))
+        words = {w.lower() for w in re.split(r"[\W\d_]+", text) if w}
+        want = 0
+        for i, insults in enumerate(toxicity.INSULTS):
+            want |= any(w in insults for w in words) << i
+        for i, pattern in enumerate(toxicity.PATTERNS):
+            want |= (pattern.search(text) is not None) << (4 + i)
+        for entry in lexicon.words:
+            want |= (entry in words) << (8 + sum(map(ord, entry)) % 3)
+        for entry in lexicon.beginnings:
+            want |= any(w.startswith(entry) for w in words) << (11 + sum(map(ord, entry)) % 3)
+        assert lexicon.votes(text)[0] == want
+
+
+def test_posterior_of_the_label_model_as_by_enumeration():
+    """Given its tree and the votes' shares, the posterior is Bayes' rule over the two classes, row by row."""
+    rng = np.random.default_rng(4)
+    y = rng.random(3000) < 0.25
+    votes = sum(np.where(rng.random(3000) < np.where(y, 0.6, 0.1), 1 << i, 0) for i in range(4))
+    patterns, counts = np.unique(votes, return_counts=True)
+    model, known = toxicity.LabelModel(patterns), np.full(len(patterns), -1)
+    before = toxicity.LabelModel(patterns).fit(counts.astype(float), known, rounds=3)
+    after = model.fit(counts.astype(float), known, rounds=4)
+    for row, pattern in enumerate(patterns):
+        joint = []
+        for c in (0, 1):
+            mass = counts * (before if c else 1 - before)
+            p = (mass.sum() + 1) / (counts.sum() + 2)
+            for i, parent in enumerate(model.parents):
+                cell = lambda v, u: 0.25 + mass[((patterns >> i & 1) == v) & ((patterns >> parent & 1) == u if parent >= 0 else True)].sum()
+                if parent >= 0:
+                    u = pattern >> parent & 1
+                    p *= cell(pattern >> i & 1, u) / (cell(0, u) + cell(1, u))
+                else:
+                    on, off = mass[(patterns >> i & 1) == 1].sum(), mass[(patterns >> i & 1) == 0].sum()
+                    p *= ((on if pattern >> i & 1 else off) + 0.5) / (on + off + 1.0)
+            joint.append(p)
+        assert after[row] == pytest.approx(joint[1] / sum(joint), rel=1e-6)
+
+
 def test_correlated_voters_count_less():
     rng = np.random.default_rng(5)
     n = 4000

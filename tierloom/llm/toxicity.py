@@ -8,6 +8,8 @@ accuracy under either class and its correlation with one other voter. Its poster
 from __future__ import annotations
 
 import dataclasses
+import functools
+import hashlib
 import math
 import re
 from collections import Counter
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tierloom.llm.common import carried, slices_by_bytes
+from tierloom.llm.common import carried, slices_by_bytes, stored
 from tierloom.llm.words import mix
 
 #: Labelled texts, in the order of a hash of their ids, that lexicons and classifier are fitted on; all if there are fewer.
@@ -31,6 +33,8 @@ ENTRIES, LEXICONS = 400, 3
 #: Least share of the toxic texts, and number of them, that hold an entry; least weight (a log odds ratio) of an entry.
 SUPPORT, LEAST, WEIGHT = 0.015, 4, 2.5
 ROUNDS, STEPS, PENALTY = 8, 60, 1e-2
+#: MinHash values that tell near copies among labelled texts: bands, values in each, least share that agrees.
+BANDS, BAND, ALIKE = 8, 4, 0.7
 
 #: Common insults of four languages, one lexicon each.
 INSULTS = (
@@ -108,30 +112,64 @@ class Model:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", most: int = MAX_LABELLED) -> DataFrame:
-    """``text, toxic`` of at most ``most`` labelled texts, chosen by a hash of their ids. Of differing labels of one id the larger counts."""
-    chosen = labels.where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull()).groupBy(F.col(id_column).cast("long").alias("id"))
+    """``text, toxic`` of at most ``most`` labelled texts, chosen by a hash of their ids.
+
+    Of differing labels of one id the larger counts. An id has one text here, however many rows repeat it: that with the smallest hash.
+    NULL texts, labels and ids are left out.
+    """
+    chosen = labels.where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull()).groupBy(F.col(id_column).alias("id"))
     chosen = chosen.agg(F.max(label_column).cast("int").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(most)
-    # at most ``most`` pairs of numbers: bounded, so broadcast
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    return rows.join(F.broadcast(chosen), "id").where("text IS NOT NULL").select("text", "toxic")
+    # at most ``most`` pairs of an id and a number: bounded, so broadcast
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where("text IS NOT NULL")
+    rows = rows.join(F.broadcast(chosen), "id").groupBy("id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("first"))
+    return rows.select("first.text", "toxic")
+
+
+@functools.lru_cache(maxsize=1 << 17)
+def hash_of(word: str) -> int:
+    """64 bits of the whole word."""
+    return int.from_bytes(hashlib.blake2b(word.encode("utf-8"), digest_size=8).digest(), "little")
 
 
-def _sketch(words: list[str]) -> int:
-    """The smallest hash of the runs of three words: most near copies of a text share it."""
+def signature(words: list[str]) -> np.ndarray:
+    """MinHash values of the runs of three words (of the words, if there are only two); texts without words have zeros."""
     hashes = np.array([hash_of(w) for w in words], np.uint64)
     if len(hashes) > 2:
-        hashes = hashes[:-2] * np.uint64(3) + hashes[1:-1] * np.uint64(5) + hashes[2:] * np.uint64(7)
-    return int(mix(hashes).min().view(np.int64)) if len(hashes) else 0
+        hashes = mix(hashes[:-2] * np.uint64(3) + hashes[1:-1] * np.uint64(5) + hashes[2:] * np.uint64(7))
+    if not len(hashes):
+        return np.zeros(BANDS * BAND, np.int32)
+    least = np.full(BANDS * BAND, np.iinfo(np.uint64).max, np.uint64)
+    seeds = mix(np.arange(1, BANDS * BAND + 1, dtype=np.uint64))[:, None]
+    for k in range(0, len(hashes), 1 << 14):
+        np.minimum(least, mix(seeds + hashes[k : k + (1 << 14)]).min(axis=1), out=least)
+    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def hash_of(word: str) -> int:
-    return int.from_bytes(word.encode("utf-8")[:8].ljust(8, b"\0"), "little") ^ len(word)
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start, stop in slices_by_bytes(batch.column(0)):
+            part = batch.slice(start, stop - start)
+            values = np.concatenate([signature(LETTERS.findall(t.as_py().lower())) for t in part.column(0)])
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, BANDS * BAND), pa.int32()), pa.array(values))
+            yield pa.RecordBatch.from_arrays([*part.columns, lists], ["text", "toxic", "signature"])
 
 
-def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sketches = [_sketch(LETTERS.findall(t.as_py().lower())) for t in batch.column(0)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sketches, pa.int64())], ["text", "toxic", "sketch"])
+def distinct_texts(sample: DataFrame) -> DataFrame:
+    """``text, toxic`` of the sample without near copies: of texts of one label, those that resemble one with a smaller hash go.
+
+    Two texts meet if they share the ``BAND`` values of one of ``BANDS`` bands, and resemble each other if ``ALIKE`` of all their MinHash
+    values agree, which texts with but a passage in common do not. Each text is compared with the first one of its bands alone; near
+    copies that miss each other both stay.
+    """
+    signed = sample.distinct().mapInArrow(_signed, "text string, toxic int, signature array<int>")
+    signed = stored(signed.withColumn("key", F.xxhash64("text")), "signatures")
+    bands = signed.select("toxic", "key", "signature", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
+    bands = bands.withColumn("values", F.slice("signature", F.col("band") * BAND + 1, BAND))
+    group = ["toxic", "band", "values"]
+    firsts = bands.groupBy(*group).agg(F.min(F.struct("key", "signature")).alias("first"))
+    agree = F.aggregate(F.zip_with("signature", "first.signature", lambda a, b: (a == b).cast("int")), F.lit(0), lambda x, y: x + y)
+    copies = bands.join(firsts, group).where((F.col("first.key") < F.col("key")) & (agree >= ALIKE * BANDS * BAND)).select("toxic", "key").distinct()
+    return signed.join(copies, ["toxic", "key"], "left_anti").select("text", "toxic")
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +193,7 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def lexicon_of(sample: DataFrame) -> Lexicon:
     """The entries that tell toxic texts from others; near copies of a text count once."""
-    single = sample.mapInArrow(_sketched, "text string, toxic int, sketch long").dropDuplicates(["toxic", "sketch"]).select("text", "toxic")
+    single = distinct_texts(sample)
     n_bad, n_good = single.agg(F.coalesce(F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)), F.lit(0)), F.coalesce(F.sum(F.when(F.col("toxic") == 1, 0).otherwise(1)), F.lit(0))).first()
     counts = single.mapInArrow(_entries, "entry string, bad long, good long").groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     weight = F.log((F.col("bad") + 0.5) / (n_bad + 1.0)) - F.log((F.col("good") + 0.5) / (n_good + 1.0))
@@ -254,6 +292,7 @@ def fit(docs: DataFrame, sample: DataFrame, text_column: str = "text") -> Model:
     Counts of vote patterns of all texts come to the driver: at most 2 ** VOTERS of them, in practice some hundreds. So do
     the votes and features of the sample, whose size is bounded.
     """
+    sample = stored(sample, "labelled")
     lexicon = lexicon_of(sample)
     seen = docs.select(F.col(text_column).alias("text")).mapInArrow(_voted(lexicon), "votes long, n long").groupBy("votes").agg(F.sum("n").alias("n")).toPandas()
     own = sample.mapInArrow(_featured(lexicon), "votes long, features array<double>, toxic int").toPandas()
