@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tierloom.llm.common import carried, slices_by_bytes, stored
+from tierloom.llm.common import carried, shuffle_partitions, slices_by_bytes, stored
 from tierloom.llm.words import mix
 
 #: Labelled texts, in the order of a hash of their ids, that lexicons and classifier are fitted on; all if there are fewer.
@@ -161,7 +161,8 @@ def distinct_texts(sample: DataFrame) -> DataFrame:
     values agree, which texts with but a passage in common do not. Each text is compared with the first one of its bands alone; near
     copies that miss each other both stay.
     """
-    signed = sample.distinct().mapInArrow(_signed, "text string, toxic int, signature array<int>")
+    single = sample.repartition(shuffle_partitions(sample.sparkSession), "text", "toxic").distinct()
+    signed = single.mapInArrow(_signed, "text string, toxic int, signature array<int>")
     signed = stored(signed.withColumn("key", F.xxhash64("text")), "signatures")
     bands = signed.select("toxic", "key", "signature", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
     bands = bands.withColumn("values", F.slice("signature", F.col("band") * BAND + 1, BAND))
@@ -292,7 +293,7 @@ def fit(docs: DataFrame, sample: DataFrame, text_column: str = "text") -> Model:
     Counts of vote patterns of all texts come to the driver: at most 2 ** VOTERS of them, in practice some hundreds. So do
     the votes and features of the sample, whose size is bounded.
     """
-    sample = stored(sample, "labelled")
+    sample = stored(sample.repartition(shuffle_partitions(docs.sparkSession), "text"), "labelled")
     lexicon = lexicon_of(sample)
     seen = docs.select(F.col(text_column).alias("text")).mapInArrow(_voted(lexicon), "votes long, n long").groupBy("votes").agg(F.sum("n").alias("n")).toPandas()
     own = sample.mapInArrow(_featured(lexicon), "votes long, features array<double>, toxic int").toPandas()
