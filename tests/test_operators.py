@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tierloom.operators.dedup import first_per_key, latest_per_key
-from tierloom.operators.history import active_version, validity_intervals
+from tierloom.operators.history import _ended_in_ranges, active_version, validity_intervals, validity_intervals_by_range
 from tierloom.operators.keys import surrogate_key
 from tierloom.operators.references import exclude_orphans, flag_missing_ref, resolve
 
@@ -147,6 +147,64 @@ def test_intervals_of_a_hot_key_by_shuffled_join(spark, no_broadcast, plan_of):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.fixture
+def many_ranges(spark):
+    """Ranges as many as set, however small, and batches of a few rows."""
+    settings_ = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "13",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "7",
+    }
+    before = {name: spark.conf.get(name) for name in settings_}
+    for name, value in settings_.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_intervals_by_range_against_brute_force(spark, many_ranges, plan_of):
+    numbers = random.Random(11)
+    values = [
+        ("hot" if i % 3 else f"k{i % 50}", datetime(2020, 1, 1) + timedelta(hours=numbers.randrange(9000)), i)
+        for i in range(1500)
+    ]
+    df = spark.createDataFrame(values, "k string, s timestamp_ntz, t int")
+    got = {(r.k, r.s, r.t): r.valid_to for r in validity_intervals_by_range(df, ["k"], "s", ["t"]).collect()}
+    assert got == expected_intervals(values)
+
+    ranges = _ended_in_ranges(df, ["k"], "s", ["t"], "valid_to")
+    plan = plan_of(ranges)
+    assert plan.count("Exchange") == plan.count("rangepartitioning") == 1 and plan.count("Scan") == 1
+    assert ranges.filter("k = 'hot'").select("_vi_range").distinct().count() >= 8
+
+
+@RELAXED
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from(["A", "B", None]),
+            st.sampled_from([1, None]),
+            st.one_of(st.none(), st.builds(lambda day, hour: datetime(2020, 1, day, hour), st.integers(1, 6), st.integers(0, 2))),
+            st.integers(0, 30),
+        ),
+        max_size=30, unique=True,
+    )
+)
+def test_intervals_by_range_are_those_of_the_join(spark, many_ranges, values):
+    df = spark.createDataFrame(values, "`k.1` string, j int, s timestamp_ntz, t int")
+    plain = df.toDF("k", "j", "s", "t")
+    assert rows(validity_intervals_by_range(df, ["k.1", "j"], "s", ["t"])) == rows(validity_intervals(plain, ["k", "j"], "s", ["t"]))
+
+
+def test_intervals_by_range_refuse_what_they_cannot_hold(spark):
+    df = spark.createDataFrame([(1.5, date(2020, 1, 1), 1)], "k double, s date, t int")
+    with pytest.raises(TypeError):
+        validity_intervals_by_range(df, ["k"], "s", ["t"])
+    with pytest.raises(ValueError):
+        validity_intervals_by_range(df, ["t"], "s", ["t"], end="k")
+
+
 def test_every_key_has_one_open_version_and_no_overlap(spark):
     df = spark.range(2000).select(
         (F.col("id") % 40).alias("k"),

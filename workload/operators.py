@@ -12,7 +12,7 @@ from tierloom.functions import collation, dates, flags, labels, numbers, text
 from tierloom.functions import fixed_values as fixed
 from tierloom.operators import quality, sketches
 from tierloom.operators.dedup import first_per_key, latest_per_key
-from tierloom.operators.history import active_version, validity_intervals
+from tierloom.operators.history import active_version, validity_intervals, validity_intervals_by_range
 from tierloom.operators.keys import surrogate_key
 from tierloom.operators.references import exclude_orphans, flag_missing_ref, resolve
 from tierloom.session import new_table_path
@@ -670,6 +670,17 @@ def versions_of_orders(spark, folder):
     )
 
 
+@query("validity_intervals_by_range", VERSIONS_SQL)
+def versions_of_orders_by_range(spark, folder):
+    orders = dirty(spark, folder, "orders", "o_custkey", "o_orderkey", "o_orderdate")
+    return validity_intervals_by_range(orders, ["o_custkey"], "o_orderdate", ["o_orderkey"]).select(
+        "o_custkey",
+        "o_orderkey",
+        col("o_orderdate").cast("date").alias("valid_from"),
+        "valid_to",
+    )
+
+
 @query("active_version", f"SELECT * FROM ({VERSIONS_SQL}) WHERE valid_to IS NULL")
 def active_orders(spark, folder):
     return active_version(versions_of_orders(spark, folder))
