@@ -25,20 +25,30 @@ COLUMNS = {
     "op8": "doc_id held_out score predicted",
     "op9": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
     "op10": "doc_id size source_size target taken",
+    "op11": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
+    "op12": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
+    "op13": "lang rank phrase a l r n score",
 }
+#: Operators that return one row for each row of a table.
+ROW_BY_ROW = {"op3": "embeddings", "op5": "pages"} | {f"op{n}": "documents" for n in (1, 2, 4, 6, 7, 8, 9, 10)}
 
 
-def test_all_ten_are_registered():
+def test_all_thirteen_are_registered():
     assert {q.split("_")[0] for q in QUERIES} == set(COLUMNS)
 
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_columns_of(spark, name):
     df = QUERIES[name](spark, FOLDER)
-    wanted = COLUMNS[name.split("_")[0]].split()
+    operator = name.split("_")[0]
+    wanted = COLUMNS[operator].split()
     assert df.columns[: len(wanted)] == wanted
-    table = {"op3": "embeddings", "op5": "pages"}.get(name.split("_")[0], "documents")
-    assert df.count() == spark.read.parquet(f"{FOLDER}/{table}.parquet").count()
+    if operator in ROW_BY_ROW:
+        assert df.count() == spark.read.parquet(f"{FOLDER}/{ROW_BY_ROW[operator]}.parquet").count()
+    elif operator == "op11":  # pieces of every document
+        assert df.select("doc_id").distinct().count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+    elif operator == "op12":
+        assert df.count() == spark.read.parquet(f"{FOLDER}/conversations.parquet").select("conv_id").distinct().count()
 
 
 @pytest.mark.parametrize("name", REGISTERED_SQL)
