@@ -94,3 +94,82 @@ def test_pipeline_stage_by_stage(spark):
         wanted = library.encode(whole[r.doc_id].text, add_special_tokens=False).ids
         assert r.ids == wanted
         assert r.decoded_sha256 == hashlib.sha256(library.decode(wanted, skip_special_tokens=False).encode()).hexdigest()
+
+
+#: Names that stages use themselves, here as columns of the documents.
+CLASHING = ["row", "key", "check", "score", "predicted", "size", "place", "copy", "shard", "_text"]
+
+
+@pytest.fixture(scope="module")
+def odd(spark, tmp_path_factory):
+    """Documents with odd rows among them, in a folder with labels that hold NULLs; and the texts that the odd rows have."""
+    folder = str(tmp_path_factory.mktemp("odd"))
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    clean = docs.join(labels.where("toxic = 0"), "doc_id").where("length(text) BETWEEN 400 AND 3000").orderBy("doc_id").limit(3)
+    turned = [" ".join(reversed(r.text.split())) for r in clean.collect()]
+    long_text = " ".join(turned[2].split() * 400)
+    odd_rows = [
+        (None, turned[0], None, None, None),
+        (9005, turned[1], "en", "web", 1),
+        (9005, turned[1], "en", "web", 1),
+        (9006, long_text, None, "web", None),
+        (9007, None, "en", "web", 0),
+        (9008, "", "en", None, 0),
+        (9009, "12 34 !", None, "web", 7),
+        (None, None, None, None, None),
+    ]
+    every = docs.unionByName(spark.createDataFrame(odd_rows, docs.schema))
+    for name in CLASHING:
+        every = every.withColumn(name, every.doc_id)
+    every.write.parquet(f"{folder}/documents.parquet")
+    none = spark.createDataFrame([(None, 1, 1), (9005, None, None), (9007, 0, 1)], labels.schema)
+    labels.unionByName(none).write.parquet(f"{folder}/labels.parquet")
+    return folder, turned, long_text
+
+
+def test_pipeline_with_odd_rows(spark, odd):
+    folder, turned, long_text = odd
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = docs.columns
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.stored(stage(spark, docs, folder), name)
+        kept[name] = docs.collect()
+        if name != "encoding":
+            assert docs.columns == columns
+            texts = Counter(r.text for r in kept[name])
+            assert not {None, "", "12 34 !"} & set(texts)  # of no language
+            if name != "mixing":
+                assert texts[turned[0]] == 1 and texts[long_text] == 1
+                assert texts[turned[1]] == (1 if name == "near_duplicates" else 2)
+                assert [r.doc_id for r in kept[name] if r.text == turned[0]] == [None]
+    assert max(Counter((r.doc_id, r.text) for r in kept["mixing"]).values()) <= 2
+    assert Counter(r.doc_id for r in kept["encoding"]) == Counter(r.doc_id for r in kept["mixing"])
+
+
+def test_later_stages_with_texts_that_the_first_one_drops(spark, odd):
+    folder, turned, _ = odd
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    odd_ids = "doc_id IS NULL OR doc_id >= 9000"
+    clean = Counter((r.doc_id, r.text) for r in stages["toxicity"](spark, docs, folder).where(odd_ids).collect())
+    assert clean == Counter((r.doc_id, r.text) for r in docs.where(odd_ids).collect())
+
+    odd_docs = docs.where(odd_ids)
+    alone = Counter(r.text for r in stages["near_duplicates"](spark, odd_docs, folder).collect())
+    assert alone[turned[0]] == alone[turned[1]] == alone["12 34 !"] == 1
+    mixed = stages["mixing"](spark, odd_docs, folder)
+    assert mixed.columns == docs.columns and 0 < mixed.count() <= 2 * odd_docs.count()
+    empty = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+    codes = stages["encoding"](spark, odd_docs, folder).collect()
+    assert len(codes) == odd_docs.count()
+    assert [r.ids_sha256 for r in codes if r.doc_id in (9007, 9008)] == [empty, empty]
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_of_no_documents(spark, odd, name):
+    docs = spark.read.parquet(f"{odd[0]}/documents.parquet")
+    result = dict(corpus_pipeline.STAGES)[name](spark, docs.limit(0), odd[0])
+    assert result.count() == 0
+    assert name == "encoding" or result.columns == docs.columns
