@@ -11,6 +11,7 @@ from tierloom.plans import cleanse
 from tierloom.plans.refresh import cleanse_all, read_cleansed
 from tierloom.sources.landing import LANDING_SCHEMAS
 from tierloom.sources.versions import publish
+from workload.registry import QUERIES
 
 VALUES = [("a", 1, None), ("", 1, "x"), (" ", 2, "x"), (None, 3, "y"), ("a", None, "y"), ("b", 1, "y")]
 
@@ -146,3 +147,18 @@ def test_a_number_that_does_not_fit_is_an_outcome_of_the_load(spark, tmp_path):
     kept = read_cleansed(spark, cleansed, "erp_po_ord44")
     assert [r.po_number for r in kept.collect()] == ["P1"] and "_misfit" not in kept.columns
     assert [(r.po_number, r["_misfit"]) for r in read_cleansed(spark, cleansed, "erp_po_ord44", held_back=True).collect()] == [("P2", f"po_quantity_ordered: {HUGE}")]
+
+
+def test_sketched_extracts_are_derived_once(spark, plan_of, tmp_path):
+    days = "TIMESTAMP_NTZ'2024-01-05'"
+    spark.range(6).selectExpr("id AS o_orderkey", "id AS o_custkey", f"{days} AS o_orderdate", "'1-URGENT' AS o_orderpriority", "1D AS o_totalprice").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(24).selectExpr(
+        "id div 5 AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "cast(id AS int) AS l_linenumber", "2D AS l_quantity", "9D AS l_extendedprice", f"{days} AS l_shipdate"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(0).selectExpr("id AS event_id", f"{days} AS ts", "id AS user_id").write.parquet(f"{tmp_path}/events.parquet")
+    result = QUERIES["column_sketches"](spark, str(tmp_path))
+    assert str(tmp_path) not in plan_of(result)  # sketches and exact counts read what was stored, not the tables and their join
+    found = {(r.extract, r.column_name): r for r in result.collect()}
+    assert found["crm_sales_details", "sls_ord_num"].row_count == 24 and found["crm_sales_details", "sls_ord_num"].most == 5
+    assert found["crm_cust_info", "cst_id"].null_count == 1 and all(r.estimate_is_near for r in found.values() if r.row_count)
+    assert not any(extract == "crm_supp_tkts" and r.row_count for (extract, _), r in found.items())

@@ -18,7 +18,7 @@ from tierloom.operators.references import exclude_orphans, flag_missing_ref, res
 from tierloom.session import new_table_path
 from tierloom.sources.landing import LANDING_SCHEMAS, REJECTED, read_landing, split_rejected
 from tierloom.sources.tables import (
-    AUDIT_COLUMN, BATCH, load_all, read_loads, record_loads, run_report, with_audit, write_gated, write_refresh,
+    AUDIT_COLUMN, BATCH, load_all, read_loads, record_loads, run_report, side_by_side, with_audit, write_gated, write_refresh,
 )
 from tierloom.sources.versions import HELD_BACK, OUTCOME, current, publish, read_version
 from workload.extracts import digits, landed, mixed_date, money, product_number, spelled
@@ -867,15 +867,27 @@ _SKETCH_SQL = " UNION ALL ".join(
 )
 
 
+_HALF = "_half"
+
+
+def _stored_in_halves(spark, folder, extract):
+    """The extract in two halves, a partition folder each: derived once, for all that read it."""
+    names, path = LANDING_SCHEMAS[extract].names, new_table_path(spark, extract)
+    rows = landed(spark, folder, extract).select(*names).withColumn(_HALF, F.pmod(F.xxhash64(*names), F.lit(2)))
+    rows.write.partitionBy(_HALF).parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 @query("column_sketches", with_tables(_SKETCH_SQL))
 def sketches_of_extracts(spark, folder):
     """Sketches of the two halves of three extracts, merged: whether each estimate is within four standard errors of the
     exact number, and how often the most frequent value is there, for columns of few values."""
+    read = dict(zip(_SKETCHED, side_by_side([partial(_stored_in_halves, spark, folder, extract) for extract in _SKETCHED])))
     parts = []
     for extract in _SKETCHED:
         names = LANDING_SCHEMAS[extract].names
-        rows = landed(spark, folder, extract).select(*names)
-        halves = [rows.where(F.pmod(F.xxhash64(*names), F.lit(2)) == k) for k in (0, 1)]
+        rows = read[extract].select(*names)
+        halves = [read[extract].where(col(_HALF) == k).select(*names) for k in (0, 1)]
         sketched = sketches.sketched_profile(sketches.merged_sketches([sketches.column_sketches(h, names) for h in halves]), 1)
         exact = quality.column_profile(rows, names).select("column_name", "distinct_count")
         error = F.abs(col("distinct_estimate") - col("distinct_count")) / F.greatest(col("distinct_count"), F.lit(1))
