@@ -11,6 +11,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tierloom.llm import mixing, sharding, warc
 from tierloom.session import new_table_path
@@ -224,3 +225,17 @@ def test_more_copies_than_three(spark):
     assert max(r.copies for r in plan) == 5 and all(len(r.shards) == r.copies for r in plan)
     mix = Counter(r["row"]["doc_id"] for r in mixing.mixed(df, most=5.0, share=1.9, weights=(1, 1)).collect())
     assert mix == Counter({r.doc_id: r.copies for r in plan if r.copies})
+
+
+def test_gathered_buckets_are_not_shuffled_again(spark, plan_of):
+    rows = spark.range(40).select((F.col("id") % 4).cast("int").alias("bucket"), F.col("id").alias("place"), F.struct("id").alias("row"))
+    offsets = rows.groupBy("bucket").agg(F.count("*").alias("offset"))
+    dealt = rows.repartitionById(4, F.col("bucket")).sortWithinPartitions("bucket", "place")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with offsets whose size is not known when the join is planned
+    try:
+        placed = sharding._placed(dealt, offsets, 7)
+        assert "SortMergeJoin" not in plan_of(placed) and "BroadcastHashJoin" in plan_of(placed)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sorted((r.offset, r.at) for r in placed.collect()) == [(10, at) for at in range(10) for _ in range(4)]

@@ -41,6 +41,14 @@ def _has_map(kind: DataType) -> bool:
     return isinstance(kind, MapType) or isinstance(kind, ArrayType) and _has_map(kind.elementType)
 
 
+def _placed(dealt: DataFrame, offsets: DataFrame, seed: int) -> DataFrame:
+    """``offset, at, entry``: the rows of each bucket, permuted. ``offsets`` has one row for each bucket and goes to the
+    buckets, so that their rows are not shuffled again."""
+    gathered = dealt.groupBy("bucket").agg(F.collect_list(F.struct("place", "row")).alias("rows"))
+    shuffled = gathered.select("bucket", F.shuffle("rows", seed).alias("rows"))
+    return shuffled.join(F.broadcast(offsets), "bucket").select("offset", F.posexplode("rows").alias("at", "entry"))
+
+
 def sharded(docs: DataFrame, shards: int, id_column: str = "doc_id", text_column: str = "text", seed: int = SEED, bucket_bytes: int = BUCKET_BYTES, folder: str | None = None) -> DataFrame:
     """``shard, slot, row``: every row of ``docs`` (the struct ``row``) at its place in one of ``shards`` shards.
 
@@ -78,9 +86,7 @@ def sharded(docs: DataFrame, shards: int, id_column: str = "doc_id", text_column
 
     # rows of a bucket are gathered in a fixed order: a task that runs again draws the same
     dealt = rows.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket", "place", order)
-    gathered = dealt.groupBy("bucket").agg(F.collect_list(F.struct("place", "row")).alias("rows"))
-    shuffled = gathered.select("bucket", F.shuffle("rows", seed).alias("rows"))
-    placed = shuffled.join(offsets, "bucket").select("offset", F.posexplode("rows").alias("at", "entry"))
+    placed = _placed(dealt, offsets, seed)
     position = F.col("offset") + F.col("at")
     total, parts = F.lit(max(1, n_rows)), F.lit(shards)
     shard = F.expr(f"(offset + at) * {int(shards)} div {max(1, n_rows)}").cast("int")
