@@ -11,7 +11,7 @@ from tierloom.plans import cleanse
 from tierloom.plans.refresh import cleanse_all, read_cleansed
 from tierloom.sources.landing import LANDING_SCHEMAS
 from tierloom.sources.versions import publish
-from workload.registry import QUERIES
+from workload.operators import sketches_of_extracts
 
 VALUES = [("a", 1, None), ("", 1, "x"), (" ", 2, "x"), (None, 3, "y"), ("a", None, "y"), ("b", 1, "y")]
 
@@ -156,7 +156,7 @@ def test_sketched_extracts_are_derived_once(spark, plan_of, tmp_path):
         "id div 5 AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "cast(id AS int) AS l_linenumber", "2D AS l_quantity", "9D AS l_extendedprice", f"{days} AS l_shipdate"
     ).write.parquet(f"{tmp_path}/lineitem.parquet")
     spark.range(0).selectExpr("id AS event_id", f"{days} AS ts", "id AS user_id").write.parquet(f"{tmp_path}/events.parquet")
-    result = QUERIES["column_sketches"](spark, str(tmp_path))
+    result = sketches_of_extracts(spark, str(tmp_path))
     assert str(tmp_path) not in plan_of(result)  # sketches and exact counts read what was stored, not the tables and their join
     found = {(r.extract, r.column_name): r for r in result.collect()}
     assert found["crm_sales_details", "sls_ord_num"].row_count == 24 and found["crm_sales_details", "sls_ord_num"].most == 5
