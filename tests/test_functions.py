@@ -133,6 +133,22 @@ def test_date_from_number(evaluate):
     assert evaluate("x int", [(v,) for v in given], dates.parse_yyyymmdd(col("x"))) == expected
 
 
+def test_every_day_from_number(spark):
+    """Each number with a day of these years is read, each other one of eight digits is NULL."""
+    years = (1000, 1900, 2000, 2023, 2024, 9999)
+    numbered = spark.range(10000).select(F.explode(F.array(*map(F.lit, years))).alias("y"), "id")
+    read = numbered.select((F.col("y") * 10000 + F.col("id")).cast("int").alias("x")).select("x", dates.parse_yyyymmdd(col("x")).alias("day"))
+    found = {row.x: row.day for row in read.where("day IS NOT NULL").collect()}
+    days = (date.fromordinal(n) for y in years for n in range(date(y, 1, 1).toordinal(), date(y, 12, 31).toordinal() + 1))
+    assert found == {day.year * 10000 + day.month * 100 + day.day: day for day in days}
+
+
+def test_date_from_number_makes_no_text(spark, plan_of):
+    """Text of a number and parsing it again took most of the time of cleansing order lines."""
+    numbers_ = spark.range(1).select(col("id").cast("int").alias("x"))
+    assert "as string" not in plan_of(numbers_.select(dates.parse_yyyymmdd(col("x"))))
+
+
 def test_strict_date_from_number(evaluate):
     strict = dates.parse_yyyymmdd(col("x"), strict=True)
     assert evaluate("x int", [(20121228,), (0,), (2012,)], strict) == [d("2012-12-28"), None, None]
